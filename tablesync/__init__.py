@@ -7,13 +7,14 @@ from tablesync.errors import (
 )
 from tablesync.plans.runlog import RunLog
 from tablesync.plans.sync import SyncResult, extract, load, load_slice, report, run, sync_table
+from tablesync.sources import FrameSource
 from tablesync.spec import Project, Settings, Slice, SyncJob, TableSpec
 from tablesync.streaming import ingest_available
 from tablesync.targets import FileTarget, JdbcTarget, Layout, TableTarget
 
 __all__ = [
     "ConcurrentWriteError", "ConfigError", "Database", "DuplicateKeyError", "ExtractError",
-    "FileTarget", "Files", "JdbcConnection", "JdbcTarget", "Layout", "LoadError", "Project",
+    "FileTarget", "Files", "FrameSource", "JdbcConnection", "JdbcTarget", "Layout", "LoadError", "Project",
     "RunLog", "Settings", "Slice", "SyncError", "SyncJob", "SyncResult", "TableSpec",
     "TableTarget", "Tables", "TransformError", "extract", "ingest_available", "load",
     "load_slice", "report", "run", "sync_table",

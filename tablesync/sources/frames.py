@@ -99,3 +99,21 @@ class TableSource:
         if query is None:
             return frame_slice(spark.table(spec.name), spec, last_point)
         return query_slice(spark, spec, query, last_point)
+
+
+@dataclass(frozen=True)
+class FrameSource:
+    """DataFrames the caller already has, by table name."""
+
+    frames: Mapping[str, DataFrame]
+
+    def extract(
+        self, spark: SparkSession, spec: TableSpec, last_point: str | None = None,
+        base_dir: str | None = None,
+    ) -> Slice:
+        query = query_text(spec, base_dir)
+        if query is None:
+            return frame_slice(self.frames[spec.name], spec, last_point)
+        for view, frame in self.frames.items():
+            frame.createOrReplaceTempView(view)
+        return query_slice(spark, spec, query, last_point)

@@ -34,6 +34,20 @@ from tablesync.targets.storage import Storage
 
 VERSION, BUCKET, SALT = "_v", "_bucket", "_salt"
 COMMITS = "_commits"
+# Text formats by default cut timestamps to milliseconds, trim strings and split
+# a value at its line breaks; a table must give back what was written.
+_MICROS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+FORMAT_OPTIONS = {
+    "json": _MICROS,
+    "xml": {**_MICROS, "rowTag": "row", "ignoreSurroundingSpaces": "false"},
+    "csv": {
+        **_MICROS, "header": "true", "multiLine": "true", "escape": '"', "quoteAll": "false",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    },
+}
 _RESERVED = {VERSION, BUCKET, SALT}
 _publishing = threading.Lock()
 
@@ -108,7 +122,7 @@ class FileTarget:
         self.spark = spark
         self.storage = Storage(spark, path)
         self.format = format
-        self.options = dict(options or {})
+        self.options = {**FORMAT_OPTIONS.get(format, {}), **(options or {})}
         self.layout = layout or Layout()
         self.schema_evolution = schema_evolution
         self.write_partitions = write_partitions
@@ -161,19 +175,23 @@ class FileTarget:
         """Add all rows. ``batch`` = (stream, id) makes a repeated call a no-op."""
         snap = self.snapshot()
         if snap is None:
-            self._first(df, self.layout, batch)
+            self._first(df, self.layout, batch, join=True)
             return
         if self._seen(snap, batch):
             return
         schema = merged_schema(snap.schema, df.schema, self.schema_evolution)
         written = self._write(self.storage, fitted(df, schema), snap.layout)
-
-        def add(current: Snapshot) -> Snapshot:
-            grown = {s: (*current.slots.get(s, ()), written.version) for s in written.slots}
-            union = merged_schema(current.schema, schema, self.schema_evolution)
-            return replace(current, schema=union, slots={**current.slots, **grown})
-
-        self._publish(snap, add, written, batch)
+        self._publish(lambda current: self._joined(current, schema, snap.layout, written), written, batch)
+
+    def _joined(
+        self, current: Snapshot, schema: T.StructType, layout: Layout, written: _Written,
+    ) -> Snapshot:
+        """The latest state with one more version in each slot written."""
+        if current.layout != layout:
+            raise ConcurrentWriteError(f"{self.storage.root}: another writer changed the layout")
+        union = merged_schema(current.schema, schema, self.schema_evolution)
+        grown = {s: (*current.slots.get(s, ()), written.version) for s in written.slots}
+        return replace(current, schema=union, slots={**current.slots, **grown})
 
     def replace(self, df: DataFrame) -> None:
         """Drop and create: the table takes the schema and layout of this write."""
@@ -193,7 +211,7 @@ class FileTarget:
                 raise ConcurrentWriteError(f"{self.storage.root}: another writer was first")
             return replace(current, slots={slot: (written.version,) for slot in written.slots})
 
-        self._publish(snap, swap, written, None)
+        self._publish(swap, written, None)
 
     def truncate_insert(self, df: DataFrame) -> None:
         """New rows in the table as it is: its schema and layout stay."""
@@ -204,7 +222,7 @@ class FileTarget:
         merged_schema(snap.schema, df.schema, "strict")
         written = self._write(self.storage, fitted(df, snap.schema), snap.layout)
         slots = {slot: (written.version,) for slot in written.slots}
-        self._publish(snap, lambda current: replace(current, slots=slots), written, None)
+        self._publish(lambda current: replace(current, slots=slots), written, None)
 
     def upsert(
         self, df: DataFrame, key: Sequence[str], *, duplicates: str = "error",
@@ -226,7 +244,7 @@ class FileTarget:
             layout = self.layout if self.layout.key or not self.layout.key_buckets else replace(
                 self.layout, key=tuple(key)
             )
-            self._first(rows, layout, batch, unique=key if duplicates == "error" else None)
+            self._first(rows, layout, batch, unique=key if duplicates == "error" else None, create=True)
             return
         if self._seen(snap, batch):
             return
@@ -283,7 +301,7 @@ class FileTarget:
             union = merged_schema(current.schema, schema, "merge")
             return replace(current, schema=union, slots={**kept, **new})
 
-        self._publish(snap, swap, written, batch)
+        self._publish(swap, written, batch)
 
     # -- parts of a write ------------------------------------------------
 
@@ -293,13 +311,16 @@ class FileTarget:
 
     def _first(
         self, df: DataFrame, layout: Layout, batch: tuple[str, int] | None,
-        unique: Sequence[str] | None = None,
+        unique: Sequence[str] | None = None, join: bool = False, create: bool = False,
     ) -> None:
-        """Write all of ``df`` and publish it as the whole table."""
+        """Write all of ``df`` and publish it as the whole table.
+
+        A table that another writer created meanwhile is joined, replaced, or
+        with ``create`` left alone.
+        """
         clash = {c.lower() for c in df.columns} & _RESERVED
         if clash:
             raise ConfigError(f"reserved column names: {', '.join(sorted(clash))}")
-        snap = self.snapshot()
         layout = layout.resolved(df.columns)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
         written = self._write(self.storage, df, layout)
@@ -314,10 +335,15 @@ class FileTarget:
         slots = {slot: (written.version,) for slot in written.slots}
 
         def whole(current: Snapshot | None) -> Snapshot:
-            number = 0 if current is None else current.number
-            return Snapshot(number, schema, layout, slots, {} if current is None else current.batches)
+            if current is None:
+                return Snapshot(0, schema, layout, slots)
+            if join:
+                return self._joined(current, schema, layout, written)
+            if create:
+                raise ConcurrentWriteError(f"{self.storage.root}: created by another writer")
+            return Snapshot(current.number, schema, layout, slots, current.batches)
 
-        self._publish(snap, whole, written, batch)
+        self._publish(whole, written, batch)
 
     def _write(self, storage: Storage, df: DataFrame, layout: Layout) -> _Written:
         version = "v" + uuid.uuid4().hex
@@ -387,7 +413,7 @@ class FileTarget:
         return {row["__slot"] for row in matched.select("__slot").distinct().collect()}
 
     def _publish(
-        self, base: Snapshot | None, change: Callable, written: _Written,
+        self, change: Callable[[Snapshot | None], Snapshot], written: _Written,
         batch: tuple[str, int] | None,
     ) -> None:
         """Publish ``change`` of the latest state; again when another writer was first."""
@@ -396,8 +422,6 @@ class FileTarget:
             with _publishing:
                 while not published:
                     current = self.snapshot()
-                    if (base is None) != (current is None):
-                        raise ConcurrentWriteError(f"{self.storage.root}: created by another writer")
                     after = change(current)
                     if batch is not None:
                         after = replace(after, batches={**after.batches, batch[0]: batch[1]})
