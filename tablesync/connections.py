@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.sources.frames import FileSource, TableSource
 from tablesync.sources.jdbc import JdbcConnection, JdbcSource
@@ -18,10 +18,20 @@ from tablesync.targets import FileTarget, JdbcTarget, Layout, TableTarget
 
 @dataclass(frozen=True)
 class Files(FileSource):
-    """A folder of files, as source and as destination."""
+    """A folder of files, as source and as destination.
+
+    A table this library wrote is read by its published state, so that one
+    job's target can be another's source.
+    """
 
     write_options: Mapping[str, str] = field(default_factory=dict)
 
+    def frame(self, spark: SparkSession, name: str) -> DataFrame:
+        stored = FileTarget(
+            spark, f"{self.path.rstrip('/')}/{name}", format=self.format, options=self.options
+        )
+        return stored.read() if stored.exists() else super().frame(spark, name)
+
     def target(self, spark: SparkSession, spec: TableSpec) -> FileTarget:
         key = tuple(spec.write_key or ())
         return FileTarget(

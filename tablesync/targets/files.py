@@ -34,6 +34,7 @@ from tablesync.targets.storage import Storage
 
 VERSION, BUCKET, SALT = "_v", "_bucket", "_salt"
 COMMITS = "_commits"
+NULL_BUCKET = -1
 # Text formats by default cut timestamps to milliseconds, trim strings and split
 # a value at its line breaks; a table must give back what was written.
 _MICROS = {
@@ -44,8 +45,9 @@ FORMAT_OPTIONS = {
     "json": _MICROS,
     "xml": {**_MICROS, "rowTag": "row", "ignoreSurroundingSpaces": "false"},
     "csv": {
-        **_MICROS, "header": "true", "multiLine": "true", "escape": '"', "quoteAll": "false",
+        **_MICROS, "header": "true", "multiLine": "true", "escape": '"',
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+        "nullValue": "\u0001",  # else the empty string would come back as NULL
     },
 }
 _RESERVED = {VERSION, BUCKET, SALT}
@@ -241,10 +243,7 @@ class FileTarget:
         rows = latest_per_key(df, key, order, null_keys_match=False) if duplicates == "latest" else df
         snap = self.snapshot()
         if snap is None:
-            layout = self.layout if self.layout.key or not self.layout.key_buckets else replace(
-                self.layout, key=tuple(key)
-            )
-            self._first(rows, layout, batch, unique=key if duplicates == "error" else None, create=True)
+            self._first(rows, self.layout, batch, unique=key if duplicates == "error" else None, create=True)
             return
         if self._seen(snap, batch):
             return
@@ -274,8 +273,11 @@ class FileTarget:
             self._require_unique(staged, key)
         located = stage_layout.slot_columns == snap.layout.slot_columns
         if located and snap.layout.fixed_by(key):
-            touched = set(done.slots)
+            # Keys with a NULL match nothing, so their bucket is only ever added to.
+            watched = set(done.slots) - {f"{BUCKET}={NULL_BUCKET}"}
+            touched = watched & set(snap.slots)
         else:
+            watched = None  # a key may turn up in any slot
             touched = self._matched_slots(snap, staged, key)
         if newest:
             held = self._rows(snap, [s for s in snap.slots if s in touched], schema)
@@ -283,7 +285,6 @@ class FileTarget:
             staged, done = self._stage(
                 staging, fresh_rows(held, staged, key, order), stage_layout, batch_schema
             )
-        touched |= set(done.slots) if located else set()
         old = self._rows(snap, [s for s in snap.slots if s in touched], schema)
         if len(columns) == len(schema):
             result = upsert_rows(old, staged, key)
@@ -293,7 +294,8 @@ class FileTarget:
         written = self._write(self.storage, result, snap.layout)
 
         def swap(current: Snapshot) -> Snapshot:
-            if any(current.slots.get(s) != snap.slots.get(s) for s in touched | set(written.slots)):
+            seen = set(snap.slots) | set(current.slots) if watched is None else watched
+            if any(current.slots.get(s) != snap.slots.get(s) for s in seen):
                 raise ConcurrentWriteError(f"{self.storage.root}: another writer changed the same rows")
             kept = {s: v for s, v in current.slots.items() if s not in touched}
             # Rows may also arrive in a slot whose old rows were not read: both stay.
@@ -362,12 +364,11 @@ class FileTarget:
         it cuts through a hot value, and a re-run task gets the same number.
         """
         if layout.key_buckets:
-            # A NULL key has no slot of its own; its rows go by their whole content.
-            spread = F.when(any_null(layout.key), F.xxhash64(*[quoted(c) for c in df.columns]))
-            hashed = F.coalesce(spread, F.xxhash64(*[quoted(k) for k in layout.key]))
-            df = df.withColumn(BUCKET, F.pmod(hashed, F.lit(layout.key_buckets)).cast("int"))
+            hashed = F.pmod(F.xxhash64(*[quoted(k) for k in layout.key]), F.lit(layout.key_buckets))
+            bucket = F.when(any_null(layout.key), F.lit(NULL_BUCKET)).otherwise(hashed)
+            df = df.withColumn(BUCKET, bucket.cast("int"))
         if layout.cluster_by:
-            ranges = [quoted(c) for c in layout.cluster_by]
+            ranges = [quoted(c) for c in (*layout.slot_columns, *layout.cluster_by)]
             df = df.withColumn(SALT, F.spark_partition_id())
             df = df.repartitionByRange(*ranges, SALT).drop(SALT)
         elif layout.slot_columns:

@@ -1,0 +1,144 @@
+"""JDBC against Derby, embedded in the Spark JVM."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync import ConfigError, Database, DuplicateKeyError, JdbcTarget, LoadError, TableSpec
+
+SCHEMA = "id bigint, v string, t timestamp_ntz"
+
+
+@pytest.fixture
+def target(spark, derby):
+    return JdbcTarget(spark, derby, "app.items", column_types="v VARCHAR(20)")
+
+
+@pytest.fixture
+def frame(spark):
+    return lambda data, schema=SCHEMA: spark.createDataFrame(data, schema)
+
+
+def day(n):
+    return datetime(2024, 1, n)
+
+
+@pytest.fixture
+def items(spark, target):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 10 != 0, F.col("id")).alias("id"), F.lit("x").alias("v"),
+        F.expr("CASE WHEN id % 7 <> 0 THEN timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 30 as int)) END").alias("t"),
+    )
+    target.replace(df)
+    return df
+
+
+@pytest.mark.parametrize("options, parts", [
+    ({}, 1),
+    ({"partitions_column": '"id"', "partitions_count": 4}, 4),
+    ({"partitions_column": '"id"', "partitions_count": 4, "partitions_lower_bound": 400, "partitions_upper_bound": 600}, 4),
+    ({"partitions_column": 'mod("id", 5) as part', "partitions_count": 3}, 3),
+    ({"partitions_column": '"t"', "partitions_column_type": "datetime", "partitions_count": 4}, 4),
+])
+def test_split_reads_lose_no_row(spark, target, items, rows, options, parts):
+    df = Database(target.connection).extract(spark, TableSpec("app.items", "t", **options)).df
+    assert df.rdd.getNumPartitions() == parts
+    assert df.columns == ["id", "v", "t"]
+    assert rows(df) == rows(items)
+
+
+def test_two_incremental_runs_meet_at_the_mark(spark, target, frame, rows):
+    spec = TableSpec("app.items", "t", "incremental", '"t"', "datetime", partitions_count=2)
+    source = Database(target.connection)
+    target.replace(frame([(1, "a", day(1)), (2, "b", day(3)), (3, "n", None)]))
+    first = source.extract(spark, spec)
+    assert (first.mode, first.high_water, len(rows(first.df))) == ("overwrite", "2024-01-03 00:00:00.000000", 3)
+    target.append(frame([(4, "c", day(4)), (5, "late", day(2)), (6, "n", None)]))
+    second = source.extract(spark, spec, first.high_water)
+    assert rows(second.df, "id") == [(2,), (4,)] and second.mode == "append"
+    assert source.extract(spark, spec, "2024-02-01").df is None
+
+
+def test_truncate_insert_keeps_index_and_column_order(target, frame, rows):
+    target.replace(frame([(1, "a", None)]))
+    target.ensure_unique(["id"])
+    target.truncate_insert(frame([("b", 2)], "v string, id bigint"))
+    assert target.read().columns == ["id", "v", "t"] and rows(target.read()) == [(2, "b", None)]
+    with pytest.raises(Exception):
+        target.append(frame([(2, "again", None)]))
+
+
+def test_upsert_creates_then_merges(target, frame, rows):
+    assert not target.exists()
+    target.upsert(frame([(1, "a", day(1)), (2, "b", day(2))]), ["id"])
+    assert target.exists()
+    target.upsert(frame([(2, "B", day(3)), (3, "c", day(3))]), ["ID"])
+    assert rows(target.read()) == [(1, "a", day(1)), (2, "B", day(3)), (3, "c", day(3))]
+    target.merge(frame([(1, "only v"), (9, "new")], "id bigint, v string"), ["id"])
+    assert rows(target.read(), "id", "v") == [(1, "only v"), (2, "B"), (3, "c"), (9, "new")]
+
+
+def test_stage_is_always_dropped(spark, target, frame):
+    target.upsert(frame([(1, "a", None)]), ["id"])
+    target.upsert(frame([(1, "b", None)]), ["id"])
+    with pytest.raises(Exception):
+        target.upsert(frame([(1, "far too long for the column" * 3, None)]), ["id"])
+    names = target.connection.read(spark, "(SELECT tablename FROM sys.systables) q")
+    assert not [r[0] for r in names.collect() if "stage" in r[0].lower()]
+
+
+def test_doubled_keys(target, frame, rows):
+    with pytest.raises(DuplicateKeyError):
+        target.upsert(frame([(1, "a", None), (1, "b", None)]), ["id"])
+    assert not target.exists()
+    target.upsert(frame([(1, "a", day(1)), (1, "b", day(2))]), ["id"], duplicates="latest", order="t")
+    assert rows(target.read(), "v") == [("b",)]
+
+
+def test_rows_written_twice_are_noticed(spark, target, frame, monkeypatch):
+    """A task that commits its insert and is run again leaves its rows twice."""
+    write = JdbcTarget._write
+    calls = []
+
+    def write_twice(self, df, mode, table=None, **options):
+        write(self, df, mode, table, **options)
+        if len(calls) < 1:
+            calls.append(1)
+            write(self, frame([(1, "a", None)]), "append", table, **options)
+
+    monkeypatch.setattr(JdbcTarget, "_write", write_twice)
+    target.upsert(frame([(1, "a", None)]), ["id"])
+    assert target.read().count() == 1 and calls == [1]
+
+
+def test_rows_written_twice_every_time_are_an_error(target, frame, monkeypatch):
+    write = JdbcTarget._write
+
+    def always_twice(self, df, mode, table=None, **options):
+        write(self, df, mode, table, **options)
+        write(self, frame([(1, "a", None)]), "append", table, **options)
+
+    monkeypatch.setattr(JdbcTarget, "_write", always_twice)
+    with pytest.raises(LoadError):
+        target.upsert(frame([(1, "a", None)]), ["id"])
+    assert not target.exists()
+
+
+def test_nested_columns_are_refused(target, spark):
+    with pytest.raises(ConfigError, match="embedding"):
+        target.append(spark.sql("SELECT array(1.0f) AS embedding"))
+
+
+def test_unreachable_database_is_not_a_missing_table(spark, derby):
+    broken = JdbcTarget(spark, type(derby)("jdbc:derby:memory:absent", derby.driver), "t")
+    with pytest.raises(Exception, match="absent"):
+        broken.exists()
+
+
+def test_password_stays_out_of_the_url_and_repr():
+    from tablesync import JdbcConnection
+
+    connection = JdbcConnection("jdbc:x", "d", user="u", password="p@ss/%")
+    assert connection.spark_options()["password"] == "p@ss/%"
+    assert "p@ss" not in repr(connection) and "p@ss" not in connection.url

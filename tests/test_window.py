@@ -1,0 +1,183 @@
+from datetime import date, datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tablesync.errors import ConfigError
+from tablesync.functions.window import (
+    Window, format_point, in_window, jdbc_render, parse_point, slice_bounds, split_alias, window_for,
+)
+from tablesync.sources.frames import frame_slice, query_slice
+from tablesync.spec import TableSpec
+
+
+def spec(column="n", kind="int", **options):
+    return TableSpec("t", "t", "incremental", column, kind, **options)
+
+
+@pytest.fixture
+def numbers(spark):
+    return spark.createDataFrame([(1, 10, 5), (2, 20, 40), (3, None, 50), (4, 30, None), (5, None, None)], "k int, a int, b int")
+
+
+def keys(df):
+    return sorted(r["k"] for r in df.collect())
+
+
+def test_lower_bound_is_inclusive(numbers):
+    found = frame_slice(numbers, spec("a"), "20")
+    assert keys(found.df) == [2, 4]
+    assert (found.mode, found.high_water) == ("append", "30")
+
+
+def test_first_load_keeps_null_rows_and_overwrites(numbers):
+    found = frame_slice(numbers, spec("a"))
+    assert keys(found.df) == [1, 2, 3, 4, 5]
+    assert (found.mode, found.high_water) == ("overwrite", "30")
+
+
+def test_any_of_several_columns_makes_a_row_new(numbers):
+    found = frame_slice(numbers, spec(["a", "b"]), "25")
+    assert keys(found.df) == [2, 3, 4]
+    assert found.high_water == "50"
+
+
+def test_one_element_list_is_a_single_column(numbers):
+    assert keys(frame_slice(numbers, spec(["a"]), "20").df) == [2, 4]
+
+
+def test_several_columns_do_not_widen_the_window(spark):
+    """Row 9 lies between the least and greatest value of the new rows, but is not new."""
+    df = spark.createDataFrame([(1, 100, 7), (9, 50, 50)], "k int, a int, b int")
+    assert keys(frame_slice(df, spec(["a", "b"]), "60").df) == [1]
+
+
+def test_static_range_is_half_open_and_leaves_the_mark(numbers):
+    found = frame_slice(numbers, spec("a", filter_lower_bound=10, filter_upper_bound="30"), "25")
+    assert keys(found.df) == [1, 2]
+    assert (found.mode, found.high_water) == ("append", None)
+
+
+def test_static_range_over_two_columns_does_not_mix_bounds(spark):
+    df = spark.createDataFrame([(1, 15, 99), (2, 5, 25)], "k int, a int, b int")
+    assert keys(frame_slice(df, spec(["a", "b"], filter_lower_bound=10, filter_upper_bound=20)).df) == [1]
+
+
+def test_empty_static_range_is_no_slice(numbers):
+    assert frame_slice(numbers, spec("a", filter_lower_bound=1000)).df is None
+
+
+def test_nothing_new_is_no_slice_and_no_mark(numbers):
+    found = frame_slice(numbers, spec("a"), "31")
+    assert (found.df, found.mode, found.high_water) == (None, "append", None)
+
+
+def test_all_null_falls_back_to_everything(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "k int, a int")
+    found = frame_slice(df, spec("a"))
+    assert keys(found.df) == [1, 2]
+    assert (found.mode, found.high_water) == ("overwrite", None)
+
+
+def test_rows_after_the_snapshot_are_left_for_the_next_run(numbers):
+    window = window_for(spec("a"), "10")
+    assert keys(in_window(numbers, window, 20)) == [1, 2]
+    assert keys(in_window(numbers, window_for(spec("a"), None), 20)) == [1, 2, 3, 5]
+
+
+def test_expression_iterate_column_skips_nulls(numbers):
+    assert keys(frame_slice(numbers, spec("greatest(a, b)"), "40").df) == [2, 3]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_time_types_are_compared_in_their_own_type(spark, tmp_path, kind):
+    days = [(1, "2024-01-01 00:00:00"), (2, "2024-01-02 00:00:00"), (3, "2024-01-03 00:00:00"), (4, None)]
+    df = spark.createDataFrame(days, "k int, t string").withColumn("t", F.col("t").cast(kind))
+    df.write.parquet(str(tmp_path / "t"))
+    found = frame_slice(spark.read.parquet(str(tmp_path / "t")), spec("t", "datetime"), "2024-01-02")
+    assert keys(found.df) == [2, 3]
+    assert found.high_water == "2024-01-03 00:00:00.000000"
+    plan = found.df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(t), GreaterThanOrEqual(t,2024-01-02" in plan
+    assert "LessThanOrEqual(t,2024-01-03" in plan
+
+
+def test_marks_keep_microseconds_and_the_session_zone(spark, setting):
+    setting("spark.sql.session.timeZone", "Asia/Tokyo")
+    df = spark.sql("SELECT 1 AS k, TIMESTAMP '2024-01-01 00:00:00.123456' AS t")
+    found = frame_slice(df, spec("t", "datetime"), "2024-01-01")
+    assert found.high_water == "2024-01-01 00:00:00.123456"
+    assert keys(found.df) == [1]
+
+
+def test_custom_query_puts_the_condition_where_asked(spark, numbers):
+    numbers.createOrReplaceTempView("numbers_view")
+    text = "(SELECT * FROM (SELECT k, a FROM numbers_view) t {query_filter}) q"
+    assert keys(query_slice(spark, spec("a"), text, "20").df) == [2, 4]
+    assert keys(query_slice(spark, spec("a"), text).df) == [1, 2, 3, 4, 5]
+    assert keys(query_slice(spark, TableSpec("t", "t"), text).df) == [1, 2, 3, 4, 5]
+
+
+def test_incremental_custom_query_without_the_place_is_refused(spark, numbers):
+    numbers.createOrReplaceTempView("numbers_view")
+    with pytest.raises(ConfigError):
+        query_slice(spark, spec("a"), "(SELECT * FROM numbers_view) q", "20")
+
+
+def test_bounds_over_columns(numbers):
+    assert tuple(slice_bounds(numbers, ["a", "b"]).first()) == (5, 50)
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("a", ("a", None)), ("greatest(a, b) as p", ("greatest(a, b)", "p")),
+    ("greatest(a, b) AS p", ("greatest(a, b)", "p")), ("cast(a as int) As p", ("cast(a as int)", "p")),
+])
+def test_alias_is_split_in_any_case(text, expected):
+    assert split_alias(text) == expected
+
+
+@pytest.mark.parametrize("value, kind, expected", [
+    ("12", "int", 12), ("9007199254740993", "int", 9007199254740993), ("1.0E3", "int", 1000),
+    ("2024-01-01", "datetime", datetime(2024, 1, 1)), (date(2024, 1, 2), "datetime", datetime(2024, 1, 2)),
+    ("2024-01-01 10:00:00.5", "datetime", datetime(2024, 1, 1, 10, 0, 0, 500000)),
+    ("2024-01-01T10:00:00+02:00", "datetime", datetime(2024, 1, 1, 8)),
+])
+def test_parse_point(value, kind, expected):
+    assert parse_point(value, kind) == expected
+
+
+@pytest.mark.parametrize("value, kind", [("x", "int"), ("1.5", "int"), ("NaN", "int"), ("soon", "datetime")])
+def test_bad_points_are_refused(value, kind):
+    with pytest.raises(ConfigError):
+        parse_point(value, kind)
+
+
+def test_points_are_stored_as_text():
+    assert format_point(datetime(2024, 1, 1, 0, 0, 0, 7), "datetime") == "2024-01-01 00:00:00.000007"
+    assert format_point("5", "int") == "5"
+
+
+def test_condition_text():
+    window = Window(("a", "b"), "int", lower=1)
+    assert window.condition(jdbc_render, 9) == "(a >= 1 AND a <= 9) OR (b >= 1 AND b <= 9)"
+    assert Window(("a",), "int").condition(jdbc_render) is None
+    assert Window(("a",), "int").condition(jdbc_render, 9) == "a <= 9 OR a IS NULL"
+
+
+values = st.one_of(st.none(), st.integers(0, 20))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(values, values), max_size=8), last=st.one_of(st.none(), st.integers(0, 20)))
+def test_window_agrees_with_a_plain_loop(spark, data, last):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(data)], "k int, a int, b int")
+    found = frame_slice(df, spec(["a", "b"]), None if last is None else str(last))
+    if last is None:
+        expected = list(range(len(data)))
+    else:
+        expected = [i for i, pair in enumerate(data) if any(v is not None and v >= last for v in pair)]
+    seen = [] if found.df is None else keys(found.df)
+    assert seen == expected
+    marks = [v for i in expected for v in data[i] if v is not None]
+    assert found.high_water == (str(max(marks)) if marks else None)
