@@ -44,9 +44,9 @@ def incremental_datetime(spark, sf_dir):
     return Files(sf_dir).extract(spark, spec, "2000-01-01 00:00:00.000000").df
 
 
-@query("incremental_int", "select * from events where event_id >= 5000")
+@query("incremental_int", "select * from events where event_id >= 500")
 def incremental_int(spark, sf_dir):
-    return frame_slice(table(spark, sf_dir, "events"), by_number("event_id"), "5000").df
+    return frame_slice(table(spark, sf_dir, "events"), by_number("event_id"), "500").df
 
 
 @query(
@@ -153,10 +153,10 @@ def no_new_data(spark, sf_dir):
     return rows.agg(F.count("*").alias("n"), F.max("event_id").alias("last_point"))
 
 
-@query("slice_bounds", "select min(ts) as lo, max(ts) as hi from events where event_id >= 5000")
+@query("slice_bounds", "select min(ts) as lo, max(ts) as hi from events where event_id >= 500")
 def bounds_of_slice(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return slice_bounds(in_window(events, window_for(by_number("event_id"), "5000")), ["ts"])
+    return slice_bounds(in_window(events, window_for(by_number("event_id"), "500")), ["ts"])
 
 
 def mark_row(spark: SparkSession, data: Slice) -> DataFrame:
