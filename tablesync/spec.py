@@ -105,12 +105,17 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class Settings:
-    """Defaults a table may override."""
+    """Defaults a table may override, and names of the audit columns.
+
+    A file table keeps its last ``keep_states`` states for readers that have one
+    open; 0 keeps all.
+    """
 
     ingested_at_column: str = "_ingested_at"
     ingestion_id_column: str = "_row_id"
     column_name_case: str = "as_is"
     if_exists: str = "replace"
+    keep_states: int = 2
 
     def __post_init__(self) -> None:
         _one_of("column_name_case", self.column_name_case, COLUMN_CASES)

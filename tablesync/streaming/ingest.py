@@ -32,6 +32,7 @@ def ingest_available(
             )
         else:
             target.append(rows, batch=(name, batch_id))
+        target.expire()
 
     reader = spark.readStream.format(format).schema(schema).options(**(options or {}))
     query = (

@@ -21,6 +21,7 @@ import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -432,19 +433,25 @@ class FileTarget:
             if not published:
                 self.storage.delete(f"{VERSION}={written.version}")
 
-    def expire(self, keep: int = 2) -> None:
-        """Delete versions that none of the last ``keep`` states uses."""
+    def expire(self, keep: int = 2, orphans_after: timedelta = timedelta(days=7)) -> None:
+        """Delete versions that none of the last ``keep`` states uses.
+
+        A folder no state ever named is left by a writer that died, or belongs
+        to one still at work: it goes once it is old. A reader that has a state
+        open needs its files, so keep as many states as a long read may span.
+        """
         commits = sorted(n for n in self.storage.names(COMMITS) if n.endswith(".json"))
-        if not commits:
-            return
-        live = set()
-        for name in commits[-keep:]:
-            snap = Snapshot.from_json(0, self.storage.read_text(f"{COMMITS}/{name}"))
-            live |= {version for versions in snap.slots.values() for version in versions}
-        dead = set()
-        for name in commits[:-keep]:
-            snap = Snapshot.from_json(0, self.storage.read_text(f"{COMMITS}/{name}"))
-            dead |= {version for versions in snap.slots.values() for version in versions}
+        old, recent = commits[:-keep], commits[-keep:]
+        live, dead = self._versions(recent), self._versions(old)
+        for folder in self.storage.names(""):
+            version = folder.removeprefix(f"{VERSION}=")
+            if version == folder or version in live:
+                continue
+            if version in dead or self.storage.age(folder) > orphans_after:
+                self.storage.delete(folder)
+        for name in old:
             self.storage.delete(f"{COMMITS}/{name}")
-        for version in dead - live:
-            self.storage.delete(f"{VERSION}={version}")
+
+    def _versions(self, commits: Sequence[str]) -> set[str]:
+        states = [Snapshot.from_json(0, self.storage.read_text(f"{COMMITS}/{name}")) for name in commits]
+        return {version for snap in states for versions in snap.slots.values() for version in versions}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,11 @@ class Storage:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._path(relative))]
 
+    def age(self, relative: str) -> timedelta:
+        """Time since the last change of a folder's listing."""
+        changed = self._fs.getFileStatus(self._path(relative)).getModificationTime()
+        return timedelta(seconds=time.time() - changed / 1000)
+
     def folders(self, relative: str, depth: int) -> list[str]:
         """Folders ``depth`` levels down, relative to ``relative``."""
         if depth == 0:

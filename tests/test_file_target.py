@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -226,6 +226,16 @@ def test_expire_keeps_what_recent_states_use(target, frame, rows):
     assert len(t.storage.names(files.COMMITS)) == 2
 
 
+def test_expire_spares_a_writer_at_work(target, frame, rows):
+    t = target()
+    t.replace(frame([(1, "a")]))
+    unpublished = t._write(t.storage, frame([(2, "b")]), Layout())
+    t.expire()
+    assert t.storage.exists(f"_v={unpublished.version}")
+    t.expire(orphans_after=timedelta(0))
+    assert not t.storage.exists(f"_v={unpublished.version}") and rows(t.read()) == [(1, "a")]
+
+
 def test_rewrite_packs_versions(target, frame, rows):
     t = target(write_partitions=1)
     for i in range(3):
