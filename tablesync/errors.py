@@ -1,5 +1,8 @@
 """Errors raised by the library."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 
 class SyncError(Exception):
     """Base of every error raised here."""
@@ -27,3 +30,14 @@ class DuplicateKeyError(LoadError):
 
 class ConcurrentWriteError(LoadError):
     """Another writer changed the same part of a target meanwhile."""
+
+
+@contextmanager
+def raised_as(kind: type[SyncError], message: str) -> Iterator[None]:
+    """Any other error inside becomes one of ``kind``, which names the step."""
+    try:
+        yield
+    except SyncError:
+        raise
+    except Exception as problem:
+        raise kind(f"{message}: {problem}") from problem

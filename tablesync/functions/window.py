@@ -151,6 +151,19 @@ def jdbc_render(_expr: str, value: int | datetime) -> str:
     return str(value) if isinstance(value, int) else f"'{value.strftime(DATETIME_FORMAT)}'"
 
 
+def require_kind(df: DataFrame, window: Window) -> None:
+    """Refuse a column whose order is not the order of ``window.kind``: numbers
+    kept as text, for one, would give a wrong minimum and maximum."""
+    fits = {
+        "int": T.NumericType,
+        "datetime": (T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType, T.NullType),
+    }[window.kind]
+    for text in window.exprs:
+        found = df.select(F.expr(spark_expr(df, text))).schema[0].dataType
+        if not isinstance(found, fits):
+            raise ConfigError(f"iterate column {text} is {found.simpleString()}, not {window.kind}")
+
+
 def slice_bounds(df: DataFrame, exprs: Sequence[str]) -> DataFrame:
     """One row (lo, hi): least minimum and greatest maximum over ``exprs``."""
     columns = [F.expr(spark_expr(df, text)) for text in exprs]

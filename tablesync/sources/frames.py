@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tablesync.functions.custom_sql import filled_query, query_text
 from tablesync.functions.window import (
-    Window, format_point, in_window, parse_point, slice_bounds, spark_render, window_for,
+    Window, format_point, in_window, parse_point, require_kind, slice_bounds, spark_render,
+    window_for,
 )
 from tablesync.spec import Slice, TableSpec
 
@@ -45,6 +46,7 @@ def _incremental(
     Bounds come back as text, in the session's time zone, because a timestamp
     handed to Python would be shifted to the driver's zone.
     """
+    require_kind(whole, window)
     found = slice_bounds(rows_until(None), window.exprs).selectExpr("CAST(hi AS STRING) AS hi").first()
     if found["hi"] is None:
         if window.bounded:

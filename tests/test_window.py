@@ -111,6 +111,18 @@ def test_marks_keep_microseconds_and_the_session_zone(spark, setting):
     assert keys(found.df) == [1]
 
 
+def test_days_against_a_time_of_day(spark):
+    df = spark.sql("SELECT id AS k, date_add(DATE '2024-01-01', int(id)) AS t FROM range(4)")
+    assert keys(frame_slice(df, spec("t", "datetime"), "2024-01-02 12:00:00").df) == [2, 3]
+
+
+@pytest.mark.parametrize("kind, column", [("int", "text"), ("datetime", "number")])
+def test_columns_of_another_kind_are_refused(spark, kind, column):
+    df = spark.createDataFrame([("9", 1), ("10", 2)], "text string, number int")
+    with pytest.raises(ConfigError, match=column):
+        frame_slice(df, spec(column, kind))
+
+
 def test_custom_query_puts_the_condition_where_asked(spark, numbers):
     numbers.createOrReplaceTempView("numbers_view")
     text = "(SELECT * FROM (SELECT k, a FROM numbers_view) t {query_filter}) q"
