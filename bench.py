@@ -133,7 +133,7 @@ class Bench:
         def ingest():
             events = self.table("events")
             ingest_available(
-                self.spark, SF_DIR, events.schema, FileTarget(self.spark, self.path()), self.path(), name="e",
+                self.spark, SF_DIR, events.schema, FileTarget(self.spark, self.path()), self.path(),
                 key=["user_id"], order="ts", options={"pathGlobFilter": "events.parquet"},
             )
         return ingest

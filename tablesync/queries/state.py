@@ -166,7 +166,7 @@ def stream_incremental_latest(spark, sf_dir):
     checkpoint = new_path(spark, "checkpoint")
     for _ in range(2):
         ingest_available(
-            spark, sf_dir, events.schema, target, checkpoint, name="events", key=["user_id"], order="ts",
+            spark, sf_dir, events.schema, target, checkpoint, key=["user_id"], order="ts",
             options={"pathGlobFilter": "events.parquet"},
             transform=lambda df: df.select("user_id", F.col("event_type").alias("status"), "ts"),
         )

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.targets.files import FileTarget
+from tablesync.targets.storage import Storage
 
 
 def ingest_available(
     spark: SparkSession, path: str, schema: T.StructType, target: FileTarget, checkpoint: str, *,
-    name: str, key: Sequence[str] = (), order: str | None = None, format: str = "parquet",
+    key: Sequence[str] = (), order: str | None = None, format: str = "parquet",
     options: Mapping[str, str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
@@ -21,17 +23,21 @@ def ingest_available(
     With a ``key`` the target keeps, per key, the row with the greatest
     ``order``, whatever order files arrive in; without one rows are appended.
     The checkpoint remembers the files. A batch repeated after a failure has the
-    same id and is skipped when the target already holds it.
+    same number and is skipped when the target already holds it. Numbers belong
+    to a checkpoint: a new one starts over, and its batches are not mistaken for
+    the old one's.
     """
+    saved = Storage(spark, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
+        stream = json.loads(saved.read_text("metadata"))["id"]
         if key:
             target.upsert(
-                rows, key, duplicates="latest", order=order, newest=True, batch=(name, batch_id)
+                rows, key, duplicates="latest", order=order, newest=True, batch=(stream, batch_id)
             )
         else:
-            target.append(rows, batch=(name, batch_id))
+            target.append(rows, batch=(stream, batch_id))
         target.expire()
 
     reader = spark.readStream.format(format).schema(schema).options(**(options or {}))

@@ -22,8 +22,9 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablesync.errors import ConcurrentWriteError, ConfigError, DuplicateKeyError, LoadError
 from tablesync.functions.audit import quoted, resolve_columns
@@ -351,10 +352,20 @@ class FileTarget:
     def _write(self, storage: Storage, df: DataFrame, layout: Layout) -> _Written:
         version = "v" + uuid.uuid4().hex
         folder = f"{VERSION}={version}"
-        writer = self._arranged(df, layout).write.format(self.format).options(**self.options)
+        rows = self._arranged(df, layout)
+        texts = [c for c in layout.partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+        seen = Observation()
+        if texts:
+            blank = reduce(Column.__or__, [quoted(c) == "" for c in texts])
+            rows = rows.observe(seen, F.count_if(blank).alias("blank"))
+        writer = rows.write.format(self.format).options(**self.options)
         if layout.slot_columns:
             writer = writer.partitionBy(*layout.slot_columns)
         writer.mode("errorifexists").save(storage.full(folder))
+        if texts and seen.get["blank"]:
+            # A folder name cannot tell the empty string from NULL.
+            storage.delete(folder)
+            raise LoadError(f"{storage.root}: empty strings in partition columns {', '.join(texts)}")
         return _Written(version, tuple(storage.folders(folder, len(layout.slot_columns))))
 
     def _arranged(self, df: DataFrame, layout: Layout) -> DataFrame:

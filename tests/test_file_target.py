@@ -117,14 +117,37 @@ def test_null_keys_are_never_rewritten(target, frame):
 
 
 def test_odd_partition_values_are_found_again(target, frame, rows):
-    odd = ["a b", "a+b", "a%b", "a:b", "a/b", "ä", "{x}", "*", "", None, "a=b"]
+    odd = ["a b", "a+b", "a%b", "a:b", "a/b", "ä", "{x}", "*", "__x", None, "a=b", "007"]
     t = target(layout=Layout(partition_by=("v",)))
     t.upsert(frame(list(enumerate(odd))), ["k"])
+    assert rows(t.read()) == sorted(enumerate(odd), key=repr)
     t.upsert(frame([(i, "moved") for i in range(len(odd))]), ["k"])
     assert rows(t.read()) == [(i, "moved") for i in sorted(range(len(odd)), key=lambda i: repr((i,)))]
     assert list(t.snapshot().slots) == ["v=moved"]
 
 
+def test_empty_partition_values_are_refused(target, frame, rows):
+    t = target(layout=Layout(partition_by=("v",)))
+    t.append(frame([(1, None)]))
+    with pytest.raises(LoadError, match="empty strings"):
+        t.append(frame([(2, "")]))
+    assert rows(t.read()) == [(1, None)]
+
+
+@pytest.mark.parametrize("value", [
+    "DATE '2024-02-29'", "TIMESTAMP_NTZ '2024-01-01 10:00:00.123456'", "TIMESTAMP '2024-01-01 10:00:00.5'",
+    "true", "CAST(-12.30 AS DECIMAL(10,2))", "9007199254740993L", "0.1D", "1.0E300D", "CAST('x' AS STRING)",
+])
+def test_partition_values_of_every_type(target, spark, value):
+    t = target(layout=Layout(partition_by=("p",)))
+    df = spark.sql(f"SELECT 1 AS k, {value} AS p UNION ALL SELECT 2, NULL")
+    t.upsert(df, ["k"])
+    assert t.read().schema["p"].dataType == df.schema["p"].dataType
+    assert t.read().exceptAll(df).isEmpty() and df.exceptAll(t.read()).isEmpty()
+    t.upsert(df.where("k = 1").withColumn("p", F.lit(None).cast(df.schema["p"].dataType)), ["k"])
+    assert t.read().where("p IS NULL").count() == 2
+
+
 def test_partition_columns_keep_type_and_place(target, frame, rows):
     t = target(layout=Layout(partition_by=("p",)))
     t.replace(frame([("007", 1)], "p string, k int"))

@@ -25,10 +25,10 @@ def feed(spark, tmp_path):
 def ingest(spark, tmp_path):
     target = FileTarget(spark, str(tmp_path / "out"))
 
-    def call(**options):
+    def call(cp="cp", **options):
         schema = spark.createDataFrame([], SCHEMA).schema
         options = {"options": {"recursiveFileLookup": "true", "maxFilesPerTrigger": "1"}, **options}
-        ingest_available(spark, str(tmp_path / "in"), schema, target, str(tmp_path / "cp"), name="s", **options)
+        ingest_available(spark, str(tmp_path / "in"), schema, target, str(tmp_path / cp), **options)
         return target
 
     return call
@@ -68,6 +68,13 @@ def test_batch_repeated_after_a_failure_is_skipped(feed, ingest, rows, monkeypat
     assert rows(ingest().read(), "id") == [(1,)]
 
 
+def test_a_new_checkpoint_reads_everything_again(feed, ingest, rows):
+    feed((1, 1, "a"))
+    ingest(key=["id"], order="t")
+    feed((1, 2, "b"), (2, 1, "c"))
+    assert rows(ingest("other", key=["id"], order="t").read()) == [(1, 2, "b"), (2, 1, "c")]
+
+
 def test_transform_runs_on_each_batch(feed, ingest, rows):
     feed((1, 1, "a"), (2, 1, "b"))
     target = ingest(transform=lambda df: df.where("id > 1").withColumn("v", F.upper("v")))
