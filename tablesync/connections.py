@@ -60,10 +60,10 @@ class Tables(TableSource):
 
 @dataclass(frozen=True)
 class Database(JdbcSource):
-    """A database reached through JDBC. ``column_types`` gives, per target name,
-    the DDL types of columns the database would otherwise choose itself."""
+    """A database reached through JDBC. ``column_types`` gives, per target name
+    and column, the SQL type where Spark's choice does not fit."""
 
-    column_types: Mapping[str, str] = field(default_factory=dict)
+    column_types: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     def target(self, spark: SparkSession, spec: TableSpec) -> JdbcTarget:
         return JdbcTarget(

@@ -37,6 +37,7 @@ from tablesync.targets.storage import Storage
 VERSION, BUCKET, SALT = "_v", "_bucket", "_salt"
 COMMITS = "_commits"
 NULL_BUCKET = -1
+_READ_TRIES = 5
 # Text formats by default cut timestamps to milliseconds, trim strings and split
 # a value at its line breaks; a table must give back what was written.
 _MICROS = {
@@ -135,12 +136,24 @@ class FileTarget:
 
     def snapshot(self) -> Snapshot | None:
         """The latest published state, or None when nothing was published."""
-        numbers = [n for n in self.storage.names(COMMITS) if n.endswith(".json")]
-        if not numbers:
+        for _ in range(_READ_TRIES):  # the last commit listed may have expired meanwhile
+            commits = self._commits()
+            if not commits:
+                return None
+            snap = self._state(commits[-1])
+            if snap is not None:
+                return snap
+        raise LoadError(f"{self.storage.root}: the state changes faster than it can be read")
+
+    def _commits(self) -> list[str]:
+        return sorted(n for n in self.storage.names(COMMITS) if n.endswith(".json"))
+
+    def _state(self, commit: str) -> Snapshot | None:
+        try:
+            text = self.storage.read_text(f"{COMMITS}/{commit}")
+        except FileNotFoundError:
             return None
-        last = max(numbers)
-        text = self.storage.read_text(f"{COMMITS}/{last}")
-        return Snapshot.from_json(int(last.removesuffix(".json")), text)
+        return Snapshot.from_json(int(commit.removesuffix(".json")), text)
 
     def exists(self) -> bool:
         return self.snapshot() is not None
@@ -207,6 +220,8 @@ class FileTarget:
         Refused when another writer published meanwhile.
         """
         snap = self.snapshot()
+        if snap is None:
+            raise LoadError(f"no table at {self.storage.root}")
         rows = change(self._rows(snap, snap.slots))
         written = self._write(self.storage, rows, snap.layout)
 
@@ -333,7 +348,7 @@ class FileTarget:
             folders = [(written.version, slot) for slot in written.slots]
             try:
                 self._require_unique(self._folders(self.storage, folders, schema), unique)
-            except DuplicateKeyError:
+            except Exception:
                 self.storage.delete(f"{VERSION}={written.version}")
                 raise
         slots = {slot: (written.version,) for slot in written.slots}
@@ -361,11 +376,14 @@ class FileTarget:
         writer = rows.write.format(self.format).options(**self.options)
         if layout.slot_columns:
             writer = writer.partitionBy(*layout.slot_columns)
-        writer.mode("errorifexists").save(storage.full(folder))
-        if texts and seen.get["blank"]:
-            # A folder name cannot tell the empty string from NULL.
+        try:
+            writer.mode("errorifexists").save(storage.full(folder))
+            if texts and seen.get["blank"]:
+                # A folder name cannot tell the empty string from NULL.
+                raise LoadError(f"{storage.root}: empty strings in partition columns {', '.join(texts)}")
+        except Exception:
             storage.delete(folder)
-            raise LoadError(f"{storage.root}: empty strings in partition columns {', '.join(texts)}")
+            raise
         return _Written(version, tuple(storage.folders(folder, len(layout.slot_columns))))
 
     def _arranged(self, df: DataFrame, layout: Layout) -> DataFrame:
@@ -451,7 +469,7 @@ class FileTarget:
         to one still at work: it goes once it is old. A reader that has a state
         open needs its files, so keep as many states as a long read may span.
         """
-        commits = sorted(n for n in self.storage.names(COMMITS) if n.endswith(".json"))
+        commits = self._commits()
         old, recent = commits[:-keep], commits[-keep:]
         live, dead = self._versions(recent), self._versions(old)
         for folder in self.storage.names(""):
@@ -464,5 +482,5 @@ class FileTarget:
             self.storage.delete(f"{COMMITS}/{name}")
 
     def _versions(self, commits: Sequence[str]) -> set[str]:
-        states = [Snapshot.from_json(0, self.storage.read_text(f"{COMMITS}/{name}")) for name in commits]
+        states = [snap for snap in map(self._state, commits) if snap is not None]
         return {version for snap in states for versions in snap.slots.values() for version in versions}

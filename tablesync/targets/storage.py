@@ -6,6 +6,7 @@ import time
 import uuid
 from datetime import timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -51,7 +52,12 @@ class Storage:
         return self._fs.getContentSummary(self._path(relative)).getLength()
 
     def read_text(self, relative: str) -> str:
-        stream = self._fs.open(self._path(relative))
+        try:
+            stream = self._fs.open(self._path(relative))
+        except Py4JJavaError as problem:
+            if "FileNotFoundException" in problem.java_exception.getClass().getName():
+                raise FileNotFoundError(self.full(relative)) from problem
+            raise
         try:
             return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:

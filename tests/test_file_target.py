@@ -249,6 +249,23 @@ def test_expire_keeps_what_recent_states_use(target, frame, rows):
     assert len(t.storage.names(files.COMMITS)) == 2
 
 
+def test_a_state_that_expires_while_it_is_looked_up(target, frame, rows, monkeypatch):
+    t = target()
+    t.replace(frame([(1, "a")]))
+    listed = t._commits
+    answers = [["00000000.json"], listed()]
+    monkeypatch.setattr(t, "_commits", lambda: answers.pop(0))
+    assert t.snapshot().number == 1
+
+
+def test_failed_write_leaves_nothing_behind(target, frame, rows):
+    t = target()
+    t.replace(frame([(1, "a")]))
+    with pytest.raises(Exception):
+        t.append(frame([("x",)], "v string").selectExpr("raise_error('bad') AS v"))
+    assert len([n for n in t.storage.names("") if n.startswith("_v=")]) == 1
+
+
 def test_expire_spares_a_writer_at_work(target, frame, rows):
     t = target()
     t.replace(frame([(1, "a")]))

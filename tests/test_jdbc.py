@@ -12,7 +12,7 @@ SCHEMA = "id bigint, v string, t timestamp_ntz"
 
 @pytest.fixture
 def target(spark, derby):
-    return JdbcTarget(spark, derby, "app.items", column_types="v VARCHAR(20)")
+    return JdbcTarget(spark, derby, "app.items", column_types={"v": "VARCHAR(20)"})
 
 
 @pytest.fixture
@@ -96,6 +96,12 @@ def test_doubled_keys(target, frame, rows):
     assert rows(target.read(), "v") == [("b",)]
 
 
+def test_null_keys_are_always_inserted(target, frame, rows):
+    target.upsert(frame([(None, "a", None), (None, "b", None), (1, "c", None)]), ["id"])
+    target.upsert(frame([(None, "d", None), (1, "C", None)]), ["id"])
+    assert rows(target.read(), "v") == [("C",), ("a",), ("b",), ("d",)]
+
+
 def test_rows_written_twice_are_noticed(spark, target, frame, monkeypatch):
     """A task that commits its insert and is run again leaves its rows twice."""
     write = JdbcTarget._write
