@@ -30,7 +30,7 @@ from tablesync.errors import ConcurrentWriteError, ConfigError, DuplicateKeyErro
 from tablesync.functions.audit import quoted, resolve_columns
 from tablesync.functions.schema import fitted, merged_schema, shared_columns
 from tablesync.operators.dedup import any_null, key_violations, latest_per_key
-from tablesync.operators.merge import fresh_rows, merge_columns, upsert_rows
+from tablesync.operators.merge import fresh_rows, join_side, memory_bytes, merge_columns, upsert_rows
 from tablesync.session import broadcast_limit, configured_shared_dir
 from tablesync.targets.storage import Storage
 
@@ -116,6 +116,16 @@ class _Written:
     slots: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class _Staged:
+    """A batch as a written table, with what it takes in memory."""
+
+    rows: DataFrame
+    slots: tuple[str, ...]
+    key_bytes: int | None
+    row_bytes: int | None
+
+
 class FileTarget:
     """A table at ``path``, in any format Spark both writes and reads by schema."""
 
@@ -285,29 +295,26 @@ class FileTarget:
         placed = set(snap.layout.key if snap.layout.key_buckets else snap.layout.partition_by)
         # Without its layout columns a batch cannot say which slots it touches.
         stage_layout = snap.layout if placed <= set(columns) else Layout()
-        staged, done = self._stage(staging, fitted(rows, schema, columns), stage_layout, batch_schema)
-        if duplicates == "error":
-            self._require_unique(staged, key)
         located = stage_layout.slot_columns == snap.layout.slot_columns
+        staged = self._stage(staging, fitted(rows, schema, columns), stage_layout, batch_schema, key)
+        if duplicates == "error":
+            self._require_unique(staged.rows, key)
         if located and snap.layout.fixed_by(key):
             # Keys with a NULL match nothing, so their bucket is only ever added to.
-            watched = set(done.slots) - {f"{BUCKET}={NULL_BUCKET}"}
+            watched = set(staged.slots) - {f"{BUCKET}={NULL_BUCKET}"}
             touched = watched & set(snap.slots)
         else:
             watched = None  # a key may turn up in any slot
             touched = self._matched_slots(snap, staged, key)
+        old = self._rows(snap, [s for s in snap.slots if s in touched], schema)
         if newest:
-            held = self._rows(snap, [s for s in snap.slots if s in touched], schema)
             order = resolve_columns([order], columns)[0]
-            staged, done = self._stage(
-                staging, fresh_rows(held, staged, key, order), stage_layout, batch_schema
-            )
-        old = self._rows(snap, [s for s in snap.slots if s in touched], schema)
+            fresh = fresh_rows(old, staged.rows, key, order, self._fits(staged.key_bytes))
+            staged = self._stage(staging, fresh, stage_layout, batch_schema, key)
         if len(columns) == len(schema):
-            result = upsert_rows(old, staged, key)
+            result = upsert_rows(old, staged.rows, key, self._fits(staged.key_bytes))
         else:
-            small = 0 <= staging.size(f"{VERSION}={done.version}") <= broadcast_limit(self.spark)
-            result = merge_columns(old, staged, key, small)
+            result = merge_columns(old, staged.rows, key, self._fits(staged.row_bytes))
         written = self._write(self.storage, result, snap.layout)
 
         def swap(current: Snapshot) -> Snapshot:
@@ -416,18 +423,32 @@ class FileTarget:
         return Storage(self.spark, f"{base}/batch-{uuid.uuid4().hex}")
 
     def _stage(
-        self, staging: Storage, df: DataFrame, layout: Layout, schema: T.StructType,
-    ) -> tuple[DataFrame, _Written]:
-        layout = replace(layout, sort_by=(), cluster_by=())
-        done = self._write(staging, df, layout)
-        return self._folders(staging, [(done.version, slot) for slot in done.slots], schema), done
+        self, staging: Storage, df: DataFrame, layout: Layout, schema: T.StructType, key: list[str],
+    ) -> _Staged:
+        seen = Observation()
+        measured = df.observe(
+            seen,
+            F.count(F.lit(1)).alias("n"),
+            F.sum(memory_bytes(schema, key)).alias("key"),
+            F.sum(memory_bytes(schema, schema.names)).alias("row"),
+        )
+        done = self._write(staging, measured, replace(layout, sort_by=(), cluster_by=()))
+        rows = self._folders(staging, [(done.version, slot) for slot in done.slots], schema)
+        sizes = seen.get if done.slots else {"n": 0}
+        if not sizes["n"]:
+            return _Staged(rows, done.slots, 0, 0)
+        return _Staged(rows, done.slots, sizes["key"], sizes["row"])
+
+    def _fits(self, size: int | None) -> bool:
+        """Whether something of this size in memory may be broadcast."""
+        return size is not None and size <= broadcast_limit(self.spark)
 
     def _require_unique(self, df: DataFrame, key: Sequence[str]) -> None:
         example = key_violations(df, key).first()
         if example is not None:
             raise DuplicateKeyError(f"{self.storage.root}: key occurs more than once, e.g. {example.asDict()}")
 
-    def _matched_slots(self, snap: Snapshot, staged: DataFrame, key: list[str]) -> set[str]:
+    def _matched_slots(self, snap: Snapshot, staged: _Staged, key: list[str]) -> set[str]:
         """Slots that hold a key of the batch, found from file names.
 
         Only key columns are read, and only slot names (as many as the table
@@ -440,7 +461,8 @@ class FileTarget:
         path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
         slot = F.regexp_extract(path, f"/{VERSION}=[^/]+/(.*)/[^/]+$", 1).alias("__slot")
         held = self._open(self.storage, self._live(snap, snap.slots), snap.schema).select(*names, slot)
-        matched = held.join(staged.where(~any_null(key)).select(*names), key, "left_semi")
+        new_keys = staged.rows.where(~any_null(key)).select(*names)
+        matched = held.join(join_side(new_keys, self._fits(staged.key_bytes)), key, "left_semi")
         return {row["__slot"] for row in matched.select("__slot").distinct().collect()}
 
     def _publish(

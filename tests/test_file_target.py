@@ -77,7 +77,9 @@ LAYOUTS = [
 
 
 @pytest.mark.parametrize("layout", LAYOUTS, ids=str)
-def test_upsert_in_every_layout(target, frame, rows, layout):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_in_every_layout(target, frame, rows, setting, layout, threshold):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
     t = target(layout=layout)
     t.upsert(frame([(1, "a"), (2, "b"), (3, "c"), (None, "n")]), ["k"])
     t.upsert(frame([(2, "B"), (4, "a"), (None, "m"), (3, "a")]), ["K"])
@@ -276,6 +278,12 @@ def test_expire_spares_a_writer_at_work(target, frame, rows):
     assert not t.storage.exists(f"_v={unpublished.version}") and rows(t.read()) == [(1, "a")]
 
 
+def test_write_partitions_limits_the_files(spark, target):
+    t = target(write_partitions=2)
+    t.replace(spark.range(0, 100, 1, 8))
+    assert len([n for n in t.storage.names(f"_v={t.snapshot().slots[''][0]}") if n.startswith("part-")]) == 2
+
+
 def test_rewrite_packs_versions(target, frame, rows):
     t = target(write_partitions=1)
     for i in range(3):
@@ -291,6 +299,8 @@ def test_empty_batches(target, frame, rows):
     t.upsert(frame([(1, "a")]), ["k"])
     t.upsert(frame([]), ["k"])
     t.append(frame([]))
+    t.upsert(frame([(5, "z")]).where(F.lit(False)), ["k"])
+    t.merge(frame([(5,)], "k int").limit(0), ["k"])
     assert rows(t.read()) == [(1, "a")]
 
 

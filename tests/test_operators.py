@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from tablesync.operators import fresh_rows, key_violations, latest_per_key, merge_columns, upsert_rows
+from tablesync.operators.merge import memory_bytes
 
 quiet = settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 key = st.one_of(st.none(), st.integers(0, 5))
@@ -24,12 +25,12 @@ def collected(df):
 
 
 @quiet
-@given(old=tables, new=tables)
-def test_upsert_agrees_with_a_plain_loop(spark, old, new):
+@given(old=tables, new=tables, small=st.booleans())
+def test_upsert_agrees_with_a_plain_loop(spark, old, new, small):
     keys = {k for k, _ in new if k is not None}
     expected = [row for row in old if row[0] not in keys] + new
     result = upsert_rows(
-        spark.createDataFrame(old, "k int, v int"), spark.createDataFrame(new, "k int, v int"), ["k"]
+        spark.createDataFrame(old, "k int, v int"), spark.createDataFrame(new, "k int, v int"), ["k"], small
     )
     assert collected(result) == sorted(expected, key=repr)
 
@@ -67,7 +68,7 @@ def test_partly_null_keys_never_match(spark):
     schema = "a int, b int, v string"
     target = spark.createDataFrame([(1, None, "old"), (1, 2, "old")], schema)
     batch = spark.createDataFrame([(1, None, "new"), (1, 2, "new")], schema)
-    assert collected(upsert_rows(target, batch, ["a", "b"])) == [(1, 2, "new"), (1, None, "new"), (1, None, "old")]
+    assert collected(upsert_rows(target, batch, ["a", "b"], True)) == [(1, 2, "new"), (1, None, "new"), (1, None, "old")]
 
 
 @quiet
@@ -102,7 +103,16 @@ def test_violations_ignore_null_keys(spark):
     assert collected(key_violations(df, ["K"])) == [(2, 3)]
 
 
-def test_fresh_rows_drop_what_is_older_than_the_target(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_fresh_rows_drop_what_is_older_than_the_target(spark, small):
     target = spark.createDataFrame([(1, 5), (2, 5), (4, None)], "k int, t int")
     batch = spark.createDataFrame([(1, 4), (2, 5), (3, 1), (4, 0), (None, 0)], "k int, t int")
-    assert collected(fresh_rows(target, batch, ["k"], "t")) == [(2, 5), (3, 1), (4, 0), (None, 0)]
+    assert collected(fresh_rows(target, batch, ["k"], "t", small)) == [(2, 5), (3, 1), (4, 0), (None, 0)]
+
+
+def test_memory_is_measured_from_values(spark):
+    df = spark.sql("SELECT 1 AS k, 'abcd' AS v, array(1) AS a UNION ALL SELECT 2, NULL, NULL")
+    sizes = df.select(*[
+        memory_bytes(df.schema, columns).alias(str(i)) for i, columns in enumerate((["k"], ["k", "v"], ["k", "a"]))
+    ]).collect()
+    assert [tuple(r) for r in sizes] == [(32, 52, None), (32, 48, None)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tablesync.operators import key_violations, latest_per_key, merge_columns, upsert_rows
 from tablesync.plans.runlog import latest_state
 from tablesync.queries import QUERIES
-from tablesync.targets import FileTarget, Layout
+from tablesync.targets import FileTarget, Layout, files
 from conftest import SMALL
 
 
@@ -31,33 +31,41 @@ def test_bounds_read_one_column(spark):
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
 
 
-def test_small_batch_never_shuffles_the_target(spark, orders, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "10MB")
+def test_small_batch_never_shuffles_the_target(spark, orders):
     batch = orders.where("o_orderdate >= timestamp_ntz'2001-01-01'")
     for result in (
-        upsert_rows(orders, batch, ["o_orderkey"]),
+        upsert_rows(orders, batch, ["o_orderkey"], True),
         merge_columns(orders, batch.select("o_orderkey", "o_orderstatus"), ["o_orderkey"], True),
     ):
         text = plan(result)
         assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
 
 
-def test_large_batch_is_sort_merged(spark, orders, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    text = plan(upsert_rows(orders, orders, ["o_orderkey"]))
+def test_large_batch_is_sort_merged_however_small_its_files(spark, orders):
+    text = plan(upsert_rows(orders, orders, ["o_orderkey"], False))
     assert "SortMergeJoin" in text and "Broadcast" not in text
     text = plan(merge_columns(orders, orders.select("o_orderkey", "o_orderstatus"), ["o_orderkey"], False))
     assert text.count("SortMergeJoin") == 1 and "FullOuter" in text
 
 
-def test_only_keys_of_the_batch_enter_the_upsert_join(spark, orders, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    keys = plan(upsert_rows(orders, orders, ["o_orderkey"]).groupBy().count())
+@pytest.mark.parametrize("threshold, join", [("10MB", True), ("1KB", False), ("-1", False)])
+def test_size_in_memory_decides_on_the_broadcast(spark, orders, tmp_path, setting, monkeypatch, threshold, join):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
+    seen = []
+    monkeypatch.setattr(files, "upsert_rows", lambda t, b, k, small: seen.append(small) or upsert_rows(t, b, k, small))
+    target = FileTarget(spark, str(tmp_path / "t"))
+    target.upsert(orders, ["o_orderkey"])
+    target.upsert(orders, ["o_orderkey"])
+    assert seen == [join] and target.read().count() == orders.count()
+
+
+def test_only_keys_of_the_batch_enter_the_upsert_join(spark, orders):
+    keys = plan(upsert_rows(orders, orders, ["o_orderkey"], False).groupBy().count())
     assert "ReadSchema: struct<o_orderkey:bigint>" in keys
 
 
 def test_null_keys_skip_the_join(spark, orders):
-    assert "PushedFilters: [IsNull(o_orderkey)]" in plan(upsert_rows(orders, orders, ["o_orderkey"]))
+    assert "PushedFilters: [IsNull(o_orderkey)]" in plan(upsert_rows(orders, orders, ["o_orderkey"], True))
 
 
 def test_dedup_cuts_groups_before_the_shuffle(spark, orders):
