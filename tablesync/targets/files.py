@@ -396,8 +396,8 @@ class FileTarget:
     def _arranged(self, df: DataFrame, layout: Layout) -> DataFrame:
         """Place rows for the layout without letting one hot value fill one task.
 
-        Slots are gathered with a rebalance, which Spark splits where a slot is
-        large. Range clustering has the input's task number as last sort key:
+        Slots are gathered with a rebalance, which AQE splits where a slot is
+        large; without AQE they are spread by the input task. Range clustering has the input's task number as last sort key:
         it cuts through a hot value, and a re-run task gets the same number.
         """
         if layout.key_buckets:
@@ -409,7 +409,11 @@ class FileTarget:
             df = df.withColumn(SALT, F.spark_partition_id())
             df = df.repartitionByRange(*ranges, SALT).drop(SALT)
         elif layout.slot_columns:
-            df = df.hint("rebalance", *[quoted(c) for c in layout.slot_columns])
+            slots = [quoted(c) for c in layout.slot_columns]
+            if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+                df = df.hint("rebalance", *slots)
+            else:  # nothing would split a large slot at run time
+                df = df.withColumn(SALT, F.spark_partition_id()).repartition(*slots, SALT).drop(SALT)
         ordered = [*layout.slot_columns, *layout.cluster_by, *layout.sort_by]
         if layout.cluster_by or layout.sort_by:
             df = df.sortWithinPartitions(*[quoted(c) for c in ordered])

@@ -118,6 +118,22 @@ def test_rows_written_twice_are_noticed(spark, target, frame, monkeypatch):
     assert target.read().count() == 1 and calls == [1]
 
 
+@pytest.mark.parametrize("method", ["replace", "truncate_insert"])
+def test_whole_loads_are_filled_again_too(target, frame, monkeypatch, method):
+    target.replace(frame([(7, "x", None)]))
+    write, calls = JdbcTarget._write, []
+
+    def write_twice(self, df, mode, table=None, **options):
+        write(self, df, mode, table, **options)
+        if not calls:
+            calls.append(1)
+            write(self, frame([(1, "a", None)]), "append", table, **options)
+
+    monkeypatch.setattr(JdbcTarget, "_write", write_twice)
+    getattr(target, method)(frame([(1, "a", None)]))
+    assert target.read().count() == 1
+
+
 def test_rows_written_twice_every_time_are_an_error(target, frame, monkeypatch):
     write = JdbcTarget._write
 
