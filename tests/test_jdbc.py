@@ -88,6 +88,24 @@ def test_stage_is_always_dropped(spark, target, frame):
     assert not [r[0] for r in names.collect() if "stage" in r[0].lower()]
 
 
+def test_append_is_all_or_nothing(spark, target, frame, rows):
+    target.append(frame([(1, "a", None)]))
+    good, bad = frame([(2, "b", None)]), frame([(3, "far too long for the column" * 3, None)])
+    with pytest.raises(Exception):
+        target.append(good.union(bad))
+    assert rows(target.read(), "id") == [(1,)]
+    target.append(frame([("c", 4)], "V string, ID bigint"))
+    assert rows(target.read(), "id", "v") == [(1, "a"), (4, "c")]
+
+
+def test_stage_needs_no_column_types(spark, derby, frame, rows):
+    JdbcTarget(spark, derby, "typed", column_types={"v": "VARCHAR(9)"}).replace(frame([(1, "a", None)]))
+    plain = JdbcTarget(spark, derby, "typed")
+    plain.upsert(frame([(1, "b", day(1)), (2, "c", None)]), ["id"])
+    plain.append(frame([(3, "d", None)]))
+    assert rows(plain.read(), "id", "v") == [(1, "b"), (2, "c"), (3, "d")]
+
+
 def test_doubled_keys(target, frame, rows):
     with pytest.raises(DuplicateKeyError):
         target.upsert(frame([(1, "a", None), (1, "b", None)]), ["id"])
