@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from datetime import timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -107,8 +108,8 @@ class TableSpec:
 class Settings:
     """Defaults a table may override, and names of the audit columns.
 
-    A file table keeps its last ``keep_states`` states for readers that have one
-    open; 0 keeps all.
+    For readers that have it open, a file table keeps its last ``keep_states``
+    states (0: all of them) and any that was the latest within ``keep_for``.
     """
 
     ingested_at_column: str = "_ingested_at"
@@ -116,6 +117,7 @@ class Settings:
     column_name_case: str = "as_is"
     if_exists: str = "replace"
     keep_states: int = 2
+    keep_for: timedelta = timedelta(hours=1)
 
     def __post_init__(self) -> None:
         _one_of("column_name_case", self.column_name_case, COLUMN_CASES)

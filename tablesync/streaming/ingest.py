@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +18,7 @@ def ingest_available(
     key: Sequence[str] = (), order: str | None = None, format: str = "parquet",
     options: Mapping[str, str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    keep_for: timedelta = timedelta(hours=1),
 ) -> StreamingQuery:
     """Load all files under ``path`` that earlier calls have not loaded.
 
@@ -25,7 +27,8 @@ def ingest_available(
     The checkpoint remembers the files. A batch repeated after a failure has the
     same number and is skipped when the target already holds it. Numbers belong
     to a checkpoint: a new one starts over, and its batches are not mistaken for
-    the old one's.
+    the old one's. States of the target that were the latest within ``keep_for``
+    stay readable.
     """
     saved = Storage(spark, checkpoint)
 
@@ -38,7 +41,7 @@ def ingest_available(
             )
         else:
             target.append(rows, batch=(stream, batch_id))
-        target.expire()
+        target.expire(grace=keep_for)
 
     reader = spark.readStream.format(format).schema(schema).options(**(options or {}))
     query = (

@@ -488,16 +488,24 @@ class FileTarget:
             if not published:
                 self.storage.delete(f"{VERSION}={written.version}")
 
-    def expire(self, keep: int = 2, orphans_after: timedelta = timedelta(days=7)) -> None:
-        """Delete versions that none of the last ``keep`` states uses.
+    def expire(
+        self, keep: int = 2, grace: timedelta = timedelta(0),
+        orphans_after: timedelta = timedelta(days=7),
+    ) -> None:
+        """Delete versions that no state in use needs.
 
-        A folder no state ever named is left by a writer that died, or belongs
-        to one still at work: it goes once it is old. A reader that has a state
-        open needs its files, so keep as many states as a long read may span.
+        In use are the last ``keep`` states and all that were the latest within
+        ``grace``, as long as a reader may take with a state it opened. A folder
+        no state ever named is left by a writer that died, or belongs to one
+        still at work: it goes once it is old.
         """
         commits = self._commits()
-        old, recent = commits[:-keep], commits[-keep:]
-        live, dead = self._versions(recent), self._versions(old)
+        old = []
+        for commit, successor in zip(commits[:-keep], commits[1:]):
+            if self.storage.age(f"{COMMITS}/{successor}") < grace:
+                break
+            old.append(commit)
+        live, dead = self._versions(commits[len(old):]), self._versions(old)
         for folder in self.storage.names(""):
             version = folder.removeprefix(f"{VERSION}=")
             if version == folder or version in live:

@@ -251,6 +251,16 @@ def test_expire_keeps_what_recent_states_use(target, frame, rows):
     assert len(t.storage.names(files.COMMITS)) == 2
 
 
+def test_expire_leaves_states_within_the_grace(target, frame):
+    t = target()
+    for i in range(4):
+        t.replace(frame([(i, "a")]))
+    t.expire(keep=1, grace=timedelta(hours=1))
+    assert len(t.storage.names(files.COMMITS)) == 4
+    t.expire(keep=1)
+    assert len(t.storage.names(files.COMMITS)) == 1
+
+
 def test_a_state_that_expires_while_it_is_looked_up(target, frame, rows, monkeypatch):
     t = target()
     t.replace(frame([(1, "a")]))
