@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tablesync.functions.audit import quoted, resolve_columns
 
 _RANK = "__rank"
+_UNHASHABLE = re.compile(r"map<|variant")
 
 
 def any_null(key: Sequence[str]) -> Column:
@@ -30,9 +32,9 @@ def latest_per_key(
     """
     key = resolve_columns(key, df.columns)
     order = resolve_columns([order] if isinstance(order, str) else order, df.columns)
+    hashed = [quoted(f.name) for f in df.schema if not _UNHASHABLE.search(f.dataType.simpleString())]
     spec = Window.partitionBy(*[quoted(k) for k in key]).orderBy(
-        *[quoted(o).desc_nulls_last() for o in order],
-        F.xxhash64(*[quoted(c) for c in df.columns]).desc(),
+        *[quoted(o).desc_nulls_last() for o in order], F.xxhash64(*hashed).desc()
     )
     keyed = df if null_keys_match else df.where(~any_null(key))
     latest = keyed.withColumn(_RANK, F.row_number().over(spec)).where(F.col(_RANK) == 1).drop(_RANK)

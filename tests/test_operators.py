@@ -92,6 +92,11 @@ def test_latest_is_the_same_for_any_row_order(spark):
     assert len(picks) == 1
 
 
+def test_latest_with_columns_that_have_no_hash(spark):
+    df = spark.sql("SELECT 1 AS k, 1 AS t, map('a', 1) AS m UNION ALL SELECT 1, 2, map('b', 2)")
+    assert latest_per_key(df, ["k"], "t").first()["m"] == {"b": 2}
+
+
 def test_latest_may_keep_every_null_key(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (3, 1), (3, 2)], "k int, t int")
     assert collected(latest_per_key(df, ["k"], "t", null_keys_match=False)) == [(3, 2), (None, 1), (None, 2)]
