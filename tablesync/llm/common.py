@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,16 @@ from tablesync.session import new_path
 SPACE = r"[\x20\x09-\x0D]"
 
 
+_PLACE = str(Path(__file__).resolve().parents[2])
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver did; a cluster has it installed there."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _PLACE not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_PLACE, known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,6 +51,13 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def words_of(text: Column) -> Column:
+    """The words of a text, as an array; null for null."""
+    for space in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.filter(F.split(text, " "), lambda w: w != "")  # a single character splits without a regex
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """How many partitions keep ``per_part`` rows each."""
     return max(1, -(-rows // per_part))

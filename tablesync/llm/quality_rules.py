@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import SPACE, fresh_names, written
+from tablesync.llm.common import SPACE, fresh_names, words_of, written
 
 # Frequent function words of each language.
 COMMON_WORDS = {
@@ -51,13 +51,6 @@ def _language(lang: Column) -> Column:
     return F.when(low.isin(*COMMON_WORDS), low).otherwise(F.lit(OTHER))
 
 
-def _words(text: str) -> Column:
-    one_space = F.col(text)
-    for space in "\t\n\x0b\f\r":
-        one_space = F.replace(one_space, F.lit(space), F.lit(" "))
-    return F.filter(F.split(one_space, " "), lambda w: w != "")  # one character splits without a regex
-
-
 def _counted(text: str, words: str, special: str) -> dict[str, Column]:
     """Character counts of a text column without nulls."""
     counts = {"word_chars": F.length(F.array_join(words, ""))}
@@ -143,7 +136,7 @@ def _with_counts(docs: DataFrame, text_col: str, lang_col: str) -> tuple[DataFra
     names = ["text", "lang", "words", "special", "counts", "common"]
     at = dict(zip(names, fresh_names(docs, *[f"q_{n}" for n in names]), strict=True))
     df = docs.withColumns({at["text"]: F.coalesce(F.col(text_col), F.lit("")), at["lang"]: _language(F.col(lang_col))})
-    df = df.withColumns({at["words"]: _words(at["text"]), at["special"]: F.regexp_replace(at["text"], PLAIN, "")})
+    df = df.withColumns({at["words"]: words_of(F.col(at["text"])), at["special"]: F.regexp_replace(at["text"], PLAIN, "")})
     counted = _counted(at["text"], at["words"], at["special"])
     df = df.withColumn(at["counts"], F.struct(*[c.alias(k) for k, c in counted.items()]))
     return df.withColumn(at["common"], _common_counts(at["words"], at["lang"])), at

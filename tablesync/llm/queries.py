@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import sql
-from tablesync.llm.common import table
+from tablesync.llm import mixing, sql
+from tablesync.llm.common import let_workers_import, table
+from tablesync.llm.kmeans_tree import neighbours
+from tablesync.llm.packing import packed_documents
 from tablesync.llm.quality_rules import quality_verdicts
+from tablesync.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +19,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            let_workers_import(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return function
@@ -28,3 +35,23 @@ def query(name: str, oracle: str | None = None):
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.drop("class_distance", "word_distance")
+
+
+@query("op1_mixing", sql.mixing())
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_ids(table(spark, sf_dir, "documents"), mixing.PRODUCTION)
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_warc", sql.WARC)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op10_kmeans_tree")
+def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(spark, table(spark, sf_dir, "embeddings"), "id % 100 = 0")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tablesync.llm import mixing as mix
 from tablesync.llm import quality_rules as rules
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -63,3 +64,42 @@ verdicts as (select b.*, n_words < {limits.min_words} or 100 * n_repeat_words >
     and (n_words < {limits.word_guard} or w.d is null or w.d <= {limits.max_word_distance}) as kept
     from base b left join class_distance c using (doc_id) left join word_distance w using (doc_id))
 {final or 'select * from verdicts'}"""
+
+
+def mixing(docs: str = "documents", mixture: mix.Mixture = mix.PRODUCTION, columns: str = "d.doc_id, {names}, d.tokens") -> str:
+    """A row per document and epoch; ``columns`` of the document d, and ``epoch``."""
+    names = [level.name for level in mixture.levels]
+    keys = [f"coalesce(cast({level.sql} as varchar), '') as {level.name}" for level in mixture.levels]
+    allowed = " and ".join(f"({level.weight_sql()}) > 0" for level in mixture.levels)
+    wanted = "sum(tokens)" if mixture.total_tokens is None else str(mixture.total_tokens)
+    parts = [f"""docs as (select *, {', '.join(keys)} from {docs}),
+rows_ as (select *, len([w for w in regexp_split_to_array(coalesce(text, ''), '{_SPACE}+') if w <> '']) as tokens from docs),
+leaves as (select {', '.join(names)}, sum(tokens)::hugeint as tokens from rows_ group by all),
+caps as (select *, case when {allowed} then tokens * {mixture.max_epochs} else 0 end as cap from leaves),
+b0 as (select least(coalesce({wanted}, 0), coalesce(sum(cap), 0))::hugeint as above, 0 as top from caps)"""]
+    for depth, level in enumerate(mixture.levels):
+        path, parent = ", ".join(names[: depth + 1]), ", ".join(names[:depth]) or "top"
+        parts.append(f"""n{depth} as (select *, case when weight > 0 then cap::double / weight else 0 end as ratio from (
+    select {path}, 0 as top, sum(cap)::hugeint as cap, ({level.weight_sql()})::hugeint as weight from caps group by {path})
+    join b{depth} using ({', '.join([*names[:depth], 'top'])})),
+f{depth} as (select *, cap * sum(weight) over (partition by {parent} order by ratio, {level.name} rows between current row and unbounded following)
+    <= weight * (above - coalesce(sum(cap) over (partition by {parent} order by ratio, {level.name} rows between unbounded preceding and 1 preceding), 0)) as filled from n{depth}),
+b{depth + 1} as (select {path}, 0 as top, case when filled then cap else weight * (above - coalesce(sum(case when filled then cap end) over (partition by {parent}), 0))
+    // sum(case when not filled then weight end) over (partition by {parent}) end as above from f{depth})""")
+    last, path = len(names), ", ".join(names)
+    place = f"md5(concat('{mixture.seed}', ':', e, ':', coalesce(cast(doc_id as varchar), '')))"
+    parts.append(f"""plan as (select l.*, above as budget, case when tokens > 0 then above // tokens else 0 end as epochs from leaves l join b{last} using ({path})),
+placed as (select r.*, p.budget, p.epochs, p.budget - p.epochs * p.leaf_tokens as left_over, p.epochs + 1 as e
+    from rows_ r join (select {path}, tokens as leaf_tokens, budget, epochs from plan where budget > 0) p using ({path})),
+d as (select *, epochs + case when left_over > 0 and upto <= left_over then 1 else 0 end as copies
+    from (select *, sum(tokens) over (partition by {path} order by {place} range between unbounded preceding and current row) as upto from placed))""")
+    chosen = columns.format(names=", ".join(f"d.{n}" for n in names))
+    return "with " + ",\n".join(parts) + f"\nselect {chosen}, unnest(range(1, copies + 1))::int as epoch from d where copies > 0"
+
+
+WARC = """
+with records as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+firsts as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from records)
+select page_id, payload_bytes, payload_digest,
+    case when first is not null and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+    case when page_id is distinct from first then first end as refers_to from firsts"""
