@@ -94,7 +94,7 @@ placed as (select r.*, p.budget, p.epochs, p.budget - p.epochs * p.leaf_tokens a
 d as (select *, epochs + case when left_over > 0 and upto <= left_over then 1 else 0 end as copies
     from (select *, sum(tokens) over (partition by {path} order by {place} range between unbounded preceding and current row) as upto from placed))""")
     chosen = columns.format(names=", ".join(f"d.{n}" for n in names))
-    return "with " + ",\n".join(parts) + f"\nselect {chosen}, unnest(range(1, copies + 1))::int as epoch from d where copies > 0"
+    return "with " + ",\n".join(parts) + f"\nselect {chosen}, unnest(range(1, copies::bigint + 1))::int as epoch from d where copies > 0"
 
 
 WARC = """
