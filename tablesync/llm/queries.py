@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tablesync.llm import mixing, sql
 from tablesync.llm.common import let_workers_import, table
 from tablesync.llm.kmeans_tree import neighbours
+from tablesync.llm.mil_classifier import quality_scores
 from tablesync.llm.packing import packed_documents
 from tablesync.llm.quality_rules import quality_verdicts
+from tablesync.llm.toxicity import toxicity_scores
 from tablesync.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +57,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_kmeans_tree")
 def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(spark, table(spark, sf_dir, "embeddings"), "id % 100 = 0")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_mil_quality")
+def op8_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -190,8 +190,9 @@ def read_archives(files: DataFrame, range_bytes: int = 8 << 20, batch_bytes: int
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    # every range its own task: they are dealt evenly, whatever file they come from
-    return ranges.repartition("path", "start").mapInArrow(read, RECORDS)
+    # a task for each range: the rows are few and small, but what they name is not
+    tasks = files.agg(F.sum(F.ceil(F.col("size") / range_bytes))).first()[0]
+    return ranges.repartition(int(tasks or 1)).mapInArrow(read, RECORDS)
 
 
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
