@@ -11,6 +11,7 @@ from tablesync.llm.common import let_workers_import, table
 from tablesync.llm.kmeans_tree import neighbours
 from tablesync.llm.mil_classifier import quality_scores
 from tablesync.llm.packing import packed_documents
+from tablesync.llm.pii import personal_data
 from tablesync.llm.quality_rules import quality_verdicts
 from tablesync.llm.toxicity import toxicity_scores
 from tablesync.llm.warc import archived_pages
@@ -67,3 +68,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_mil_quality")
 def op8_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_semi_markov_pii")
+def op3_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
