@@ -11,6 +11,7 @@ from tablesync.llm.common import let_workers_import, table
 from tablesync.llm.kmeans_tree import neighbours
 from tablesync.llm.mil_classifier import quality_scores
 from tablesync.llm.packing import packed_documents
+from tablesync.llm.parity_join import Likeness, linked
 from tablesync.llm.pii import personal_data
 from tablesync.llm.quality_rules import quality_verdicts
 from tablesync.llm.toxicity import toxicity_scores
@@ -73,3 +74,8 @@ def op8_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_semi_markov_pii")
 def op3_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op6_parity_jaccard_join", sql.jaccard())
+def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked(table(spark, sf_dir, "documents"), Likeness(4, 85))

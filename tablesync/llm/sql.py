@@ -103,3 +103,24 @@ firsts as (select *, case when payload_bytes >= 100 then min(page_id) over (part
 select page_id, payload_bytes, payload_digest,
     case when first is not null and page_id is distinct from first then 'revisit' else 'response' end as record_type,
     case when page_id is distinct from first then first end as refers_to from firsts"""
+
+
+def _shingle_sets(docs: str, width: int) -> str:
+    """CTEs up to ``sets`` (doc_id, shingle, distinct) and ``sizes``."""
+    return f"""words as (select doc_id, [w for w in regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}+') if w <> ''] as w from {docs}),
+sets as (select distinct doc_id, array_to_string(w[i : i + {width - 1}], ' ') as shingle
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - {width - 1}, 1) + 1)) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from sets group by 1)"""
+
+
+def jaccard(docs: str = "documents", width: int = 4, least: int = 85, of: int = 100) -> str:
+    return f"""
+with recursive {_shingle_sets(docs, width)},
+links as (select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as both_
+        from sets x join sets y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by 1, 2) p
+    join sizes s on s.doc_id = a join sizes t on t.doc_id = b where {of} * both_ >= {least} * (s.n + t.n - both_)),
+reach as (select doc_id as a, doc_id as b from sizes union select r.a, l.b from reach r join links l on l.a = r.b)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(r.component_id, d.doc_id) as component_id
+from {docs} d left join sizes s using (doc_id)
+left join (select a as doc_id, min(b) as component_id from reach group by 1) r using (doc_id)"""
