@@ -14,6 +14,7 @@ from tablesync.llm.packing import packed_documents
 from tablesync.llm.parity_join import Likeness, linked
 from tablesync.llm.pii import personal_data
 from tablesync.llm.quality_rules import quality_verdicts
+from tablesync.llm.run_length_index import without_repeats
 from tablesync.llm.toxicity import toxicity_scores
 from tablesync.llm.warc import archived_pages
 
@@ -79,3 +80,8 @@ def op3_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_parity_jaccard_join", sql.jaccard())
 def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents"), Likeness(4, 85))
+
+
+@query("op9_run_length_index")
+def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
