@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal, InvalidOperation
 from typing import Any
 
@@ -34,7 +34,9 @@ def split_alias(text: str) -> tuple[str, str | None]:
 
 
 def parse_point(value: Any, kind: str) -> int | datetime:
-    """A bound given by the user, the run log or a source, as int or datetime."""
+    """A bound given by the user, the run log or a source, as int or datetime.
+
+    A time with a zone is a moment, kept in UTC with its zone; one without is wall-clock time."""
     try:
         if kind == "int":
             number = Decimal(str(value))
@@ -44,9 +46,7 @@ def parse_point(value: Any, kind: str) -> int | datetime:
         if isinstance(value, date) and not isinstance(value, datetime):
             return datetime(value.year, value.month, value.day)
         moment = value if isinstance(value, datetime) else datetime.fromisoformat(str(value).strip())
-        if moment.tzinfo is not None:
-            moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-        return moment
+        return moment if moment.tzinfo is None else moment.astimezone(timezone.utc)
     except (InvalidOperation, OverflowError, ValueError) as bad:
         raise ConfigError(f"{value!r} is not a valid {kind} bound") from bad
 
@@ -54,7 +54,9 @@ def parse_point(value: Any, kind: str) -> int | datetime:
 def format_point(value: Any, kind: str) -> str:
     """The text form kept in the run log."""
     point = parse_point(value, kind)
-    return str(point) if kind == "int" else point.strftime(DATETIME_FORMAT)
+    if kind == "int":
+        return str(point)
+    return point.strftime(DATETIME_FORMAT) + ("" if point.tzinfo is None else "+00:00")
 
 
 @dataclass(frozen=True)
@@ -75,25 +77,29 @@ class Window:
     def mode(self) -> str:
         return "append" if self.bounded else "overwrite"
 
-    def condition(self, render: Render, high: int | datetime | None = None) -> str | None:
+    def condition(self, render: Render, high: int | datetime | None = None, finer: bool = False) -> str | None:
         """The rows of this window, optionally no later than ``high``.
 
         Without any bound, rows whose iterate value is NULL belong to the
-        window too: no later run could find them.
+        window too: no later run could find them. ``finer`` says that the source
+        may keep smaller fractions than a mark, which stands for all of its microsecond.
         """
-        parts = [self._one(expr, render, high) for expr in self.exprs]
+        parts = [self._one(expr, render, high, finer) for expr in self.exprs]
         if parts[0] is None:
             return None
         return parts[0] if len(parts) == 1 else " OR ".join(f"({part})" for part in parts)
 
-    def _one(self, expr: str, render: Render, high: int | datetime | None) -> str | None:
+    def _one(self, expr: str, render: Render, high: int | datetime | None, finer: bool) -> str | None:
         terms = []
         if self.lower is not None:
             terms.append(f"{expr} >= {render(expr, self.lower)}")
         if self.upper is not None:
             terms.append(f"{expr} < {render(expr, self.upper)}")
         if high is not None:
-            terms.append(f"{expr} <= {render(expr, high)}")
+            if finer and isinstance(high, datetime):
+                terms.append(f"{expr} < {render(expr, high + timedelta(microseconds=1))}")
+            else:
+                terms.append(f"{expr} <= {render(expr, high)}")
         if not terms:
             return None
         if not self.bounded:
@@ -120,6 +126,13 @@ def spark_expr(df: DataFrame, text: str) -> str:
     return f"`{text}`" if text in df.columns else text
 
 
+def comparable(df: DataFrame, expr: str, kind: str) -> str:
+    """SQL of ``expr`` in a type whose order is that of ``kind``: text is read as a time."""
+    if kind == "datetime" and isinstance(df.select(F.expr(expr)).schema[0].dataType, T.StringType):
+        return f"CAST({expr} AS TIMESTAMP_NTZ)"
+    return expr
+
+
 def spark_render(df: DataFrame) -> Render:
     """Literals in the type of the column they are compared with.
 
@@ -135,12 +148,10 @@ def spark_render(df: DataFrame) -> Render:
             types[expr] = df.select(F.expr(expr)).schema[0].dataType
         text = value.strftime(DATETIME_FORMAT)
         match types[expr]:
-            case T.TimestampType():
-                return f"TIMESTAMP_LTZ '{text}'"
-            case T.DateType() if value == datetime(value.year, value.month, value.day):
+            case T.TimestampType():  # a mark is a moment; a bound without zone is the session's wall-clock time
+                return f"TIMESTAMP_LTZ '{text}{'' if value.tzinfo is None else '+00:00'}'"
+            case T.DateType() if value.replace(tzinfo=None) == datetime(value.year, value.month, value.day):
                 return f"DATE '{value:%Y-%m-%d}'"
-            case T.StringType():
-                return f"'{value}'"
             case _:
                 return f"TIMESTAMP_NTZ '{text}'"
 
@@ -164,9 +175,9 @@ def require_kind(df: DataFrame, window: Window) -> None:
             raise ConfigError(f"iterate column {text} is {found.simpleString()}, not {window.kind}")
 
 
-def slice_bounds(df: DataFrame, exprs: Sequence[str]) -> DataFrame:
+def slice_bounds(df: DataFrame, exprs: Sequence[str], kind: str = "int") -> DataFrame:
     """One row (lo, hi): least minimum and greatest maximum over ``exprs``."""
-    columns = [F.expr(spark_expr(df, text)) for text in exprs]
+    columns = [F.expr(comparable(df, spark_expr(df, text), kind)) for text in exprs]
     if len(columns) == 1:
         return df.agg(F.min(columns[0]).alias("lo"), F.max(columns[0]).alias("hi"))
     return df.agg(
@@ -178,7 +189,7 @@ def slice_bounds(df: DataFrame, exprs: Sequence[str]) -> DataFrame:
 def in_window(df: DataFrame, window: Window, high: int | datetime | None = None) -> DataFrame:
     """``df`` restricted to the window (and to ``high``, when given)."""
     quoted = Window(
-        tuple(spark_expr(df, text) for text in window.exprs),
+        tuple(comparable(df, spark_expr(df, text), window.kind) for text in window.exprs),
         window.kind, window.lower, window.upper, window.static,
     )
     condition = quoted.condition(spark_render(df), high)

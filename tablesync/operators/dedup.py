@@ -33,12 +33,13 @@ def latest_per_key(
     key = resolve_columns(key, df.columns)
     order = resolve_columns([order] if isinstance(order, str) else order, df.columns)
     hashed = [quoted(f.name) for f in df.schema if not _UNHASHABLE.search(f.dataType.simpleString())]
-    spec = Window.partitionBy(*[quoted(k) for k in key]).orderBy(
+    parts = [quoted(k) for k in key]
+    if not null_keys_match:  # a number of its own keeps each of these rows, in the same pass
+        parts.append(F.when(any_null(key), F.monotonically_increasing_id()))
+    spec = Window.partitionBy(*parts).orderBy(
         *[quoted(o).desc_nulls_last() for o in order], F.xxhash64(*hashed).desc()
     )
-    keyed = df if null_keys_match else df.where(~any_null(key))
-    latest = keyed.withColumn(_RANK, F.row_number().over(spec)).where(F.col(_RANK) == 1).drop(_RANK)
-    return latest if null_keys_match else latest.unionByName(df.where(any_null(key)))
+    return df.withColumn(_RANK, F.row_number().over(spec)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:

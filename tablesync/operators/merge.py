@@ -101,6 +101,7 @@ def fresh_rows(
         target.where(~any_null(key))
         .select(*names, quoted(order).alias(_HELD))
         .join(join_side(keyed_batch.select(*names), small), key, "left_semi")
+        .groupBy(*names).agg(F.max(_HELD).alias(_HELD))  # an appended target may hold a key many times
     )
     fresh = (
         keyed_batch.join(held, key, "left")

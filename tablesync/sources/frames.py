@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablesync.functions.custom_sql import filled_query, query_text
 from tablesync.functions.window import (
-    Window, format_point, in_window, parse_point, require_kind, slice_bounds, spark_render,
+    Window, comparable, format_point, in_window, parse_point, require_kind, slice_bounds, spark_render,
     window_for,
 )
 from tablesync.spec import Slice, TableSpec
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
 def frame_slice(df: DataFrame, spec: TableSpec, last_point: str | None = None) -> Slice:
     """The rows of ``df`` that ``spec`` asks for, given the stored last point."""
     if spec.replication_method == "full":
@@ -35,7 +39,8 @@ def query_slice(
         return Slice(whole, "overwrite")
     window = window_for(spec, last_point)
     render = spark_render(whole)
-    return _incremental(whole, window, lambda high: run(window.condition(render, high)))
+    timed = replace(window, exprs=tuple(comparable(whole, expr, window.kind) for expr in window.exprs))
+    return _incremental(whole, window, lambda high: run(timed.condition(render, high)))
 
 
 def _incremental(
@@ -43,16 +48,19 @@ def _incremental(
 ) -> Slice:
     """One pass over the iterate columns fixes the snapshot; the rows follow lazily.
 
-    Bounds come back as text, in the session's time zone, because a timestamp
-    handed to Python would be shifted to the driver's zone.
+    Bounds come back as text, because a timestamp handed to Python would be
+    shifted to the driver's zone. A moment comes back as microseconds since 1970,
+    which no time zone and no end of summer time changes.
     """
     require_kind(whole, window)
-    found = slice_bounds(rows_until(None), window.exprs).selectExpr("CAST(hi AS STRING) AS hi").first()
+    bounds = slice_bounds(rows_until(None), window.exprs, window.kind)
+    zoned = isinstance(bounds.schema["hi"].dataType, T.TimestampType)
+    found = bounds.select((F.unix_micros("hi") if zoned else F.col("hi").cast("string")).alias("hi")).first()
     if found["hi"] is None:
         if window.bounded:
             return Slice(None, window.mode)
         return Slice(whole, "overwrite")
-    high = parse_point(found["hi"], window.kind)
+    high = _EPOCH + timedelta(microseconds=found["hi"]) if zoned else parse_point(found["hi"], window.kind)
     mark = None if window.static else format_point(high, window.kind)
     return Slice(rows_until(high), window.mode, mark)
 

@@ -117,7 +117,7 @@ class Settings:
     column_name_case: str = "as_is"
     if_exists: str = "replace"
     keep_states: int = 2
-    keep_for: timedelta = timedelta(hours=1)
+    keep_for: timedelta = timedelta(days=7)
 
     def __post_init__(self) -> None:
         _one_of("column_name_case", self.column_name_case, COLUMN_CASES)

@@ -18,7 +18,7 @@ def ingest_available(
     key: Sequence[str] = (), order: str | None = None, format: str = "parquet",
     options: Mapping[str, str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    keep_for: timedelta = timedelta(hours=1),
+    keep_for: timedelta = timedelta(days=7), max_files: int | None = None,
 ) -> StreamingQuery:
     """Load all files under ``path`` that earlier calls have not loaded.
 
@@ -28,7 +28,8 @@ def ingest_available(
     same number and is skipped when the target already holds it. Numbers belong
     to a checkpoint: a new one starts over, and its batches are not mistaken for
     the old one's. States of the target that were the latest within ``keep_for``
-    stay readable.
+    stay readable. ``max_files`` cuts a backlog into batches of so many files; without it a first
+    call takes all there is as one batch.
     """
     saved = Storage(spark, checkpoint)
 
@@ -44,6 +45,8 @@ def ingest_available(
         target.expire(grace=keep_for)
 
     reader = spark.readStream.format(format).schema(schema).options(**(options or {}))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
         reader.load(path).writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

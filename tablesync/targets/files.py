@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tablesync.errors import ConcurrentWriteError, ConfigError, DuplicateKeyError, LoadError
 from tablesync.functions.audit import quoted, resolve_columns
-from tablesync.functions.schema import fitted, merged_schema, shared_columns
+from tablesync.functions.schema import fitted, merged_schema, require_free_names, shared_columns
 from tablesync.operators.dedup import any_null, key_violations, latest_per_key
 from tablesync.operators.merge import fresh_rows, join_side, memory_bytes, merge_columns, upsert_rows
 from tablesync.session import broadcast_limit, configured_shared_dir
@@ -53,7 +53,6 @@ FORMAT_OPTIONS = {
         "nullValue": "\u0001",  # else the empty string would come back as NULL
     },
 }
-_RESERVED = {VERSION, BUCKET, SALT}
 _publishing = threading.Lock()
 
 
@@ -344,9 +343,7 @@ class FileTarget:
         A table that another writer created meanwhile is joined, replaced, or
         with ``create`` left alone.
         """
-        clash = {c.lower() for c in df.columns} & _RESERVED
-        if clash:
-            raise ConfigError(f"reserved column names: {', '.join(sorted(clash))}")
+        require_free_names(df.columns)
         layout = layout.resolved(df.columns)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
         written = self._write(self.storage, df, layout)
@@ -414,11 +411,11 @@ class FileTarget:
                 df = df.hint("rebalance", *slots)
             else:  # nothing would split a large slot at run time
                 df = df.withColumn(SALT, F.spark_partition_id()).repartition(*slots, SALT).drop(SALT)
+        if self.write_partitions:
+            df = df.coalesce(self.write_partitions)
         ordered = [*layout.slot_columns, *layout.cluster_by, *layout.sort_by]
         if layout.cluster_by or layout.sort_by:
             df = df.sortWithinPartitions(*[quoted(c) for c in ordered])
-        if self.write_partitions:
-            df = df.coalesce(self.write_partitions)
         return df
 
     def _staging(self) -> Storage:
@@ -489,7 +486,7 @@ class FileTarget:
                 self.storage.delete(f"{VERSION}={written.version}")
 
     def expire(
-        self, keep: int = 2, grace: timedelta = timedelta(0),
+        self, keep: int = 2, grace: timedelta = timedelta(days=7),
         orphans_after: timedelta = timedelta(days=7),
     ) -> None:
         """Delete versions that no state in use needs.

@@ -1,4 +1,5 @@
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,12 +62,61 @@ def test_truncate_insert_keeps_schema_and_layout(target, frame, rows):
         t.truncate_insert(frame([(1, 2)], "k int, extra int"))
 
 
-def test_values_that_do_not_fit_fail_and_leave_the_table(target, frame, rows):
-    t = target()
+def test_values_that_do_not_fit_fail_and_leave_the_table(target, frame, rows, setting):
+    t = FileTarget(target().spark, target().storage.root, schema_evolution="strict")
     t.replace(frame([(1, "a")]))
-    with pytest.raises(Exception):
-        t.append(frame([(2**40, "b")], "k bigint, v string"))
-    assert rows(t.read()) == [(1, "a")]
+    for ansi in ("true", "false"):
+        setting("spark.sql.ansi.enabled", ansi)
+        with pytest.raises(Exception):
+            t.append(frame([(2**40, "b")], "k bigint, v string"))
+        t.append(frame([(7, ansi)], "k bigint, v string"))
+    assert rows(t.read()) == [(1, "a"), (7, "false"), (7, "true")]
+
+
+def test_wider_types_widen_the_column(target, frame, rows):
+    t = target()
+    t.append(frame([(1, 0.5, 3)], "k int, f float, s smallint"))
+    t.append(frame([(2**40, 0.1, 4)], "k bigint, f double, s int"))
+    t.upsert(frame([(1, 2.5, 2**20)], "k int, f float, s int"), ["k"])
+    assert [f.dataType.simpleString() for f in t.read().schema] == ["bigint", "double", "int"]
+    assert rows(t.read()) == [(1, 2.5, 2**20), (2**40, 0.1, 4)]
+
+
+@pytest.mark.parametrize("value, kind", [
+    (5.7, "double"), ("5", "string"), (True, "boolean"), (Decimal("1.50"), "decimal(4,2)"), (datetime(2024, 1, 1, 7), "timestamp_ntz"),
+])
+def test_types_that_could_lose_something_are_refused(target, frame, rows, value, kind):
+    t = target()
+    t.append(frame([(1, date(2024, 1, 1))], "k bigint, d date"))
+    column = ("d", "k") if kind == "timestamp_ntz" else ("k", "d")
+    with pytest.raises(LoadError):
+        t.append(frame([(value,)], f"{column[0]} {kind}"))
+    assert t.read().count() == 1
+
+
+@pytest.mark.parametrize("name", ["_v", "_BUCKET", "__hit", "__new_x"])
+def test_reserved_names_are_refused_on_every_write(target, frame, name):
+    t = target()
+    with pytest.raises(ConfigError):
+        t.append(frame([(1, 2)], f"k int, {name} int"))
+    t.append(frame([(1,)], "k int"))
+    for write in (t.append, lambda df: t.upsert(df, ["k"])):
+        with pytest.raises(ConfigError):
+            write(frame([(1, 2)], f"k int, {name} int"))
+
+
+def test_sorted_files_stay_sorted_when_there_are_few(target, frame):
+    t = FileTarget(target().spark, target().storage.root, layout=Layout(sort_by=("k",)), write_partitions=1)
+    t.replace(t.spark.range(1000).selectExpr("cast((id * 7919) % 1000 as int) as k", "'x' as v").repartition(5))
+    read = [r["k"] for r in t.read().collect()]
+    assert read == sorted(read)
+
+
+def test_newest_on_a_target_that_holds_a_key_twice(target, frame, rows):
+    t = target()
+    t.append(frame([(1, 1), (1, 2), (2, 1), (2, 9)], "k int, ts int"))
+    t.upsert(frame([(1, 5), (2, 5), (3, 1)], "k int, ts int"), ["k"], duplicates="latest", order="ts", newest=True)
+    assert rows(t.read()) == [(1, 5), (2, 1), (2, 9), (3, 1)]
 
 
 LAYOUTS = [
@@ -245,7 +295,7 @@ def test_expire_keeps_what_recent_states_use(target, frame, rows):
     for i in range(4):
         t.replace(frame([(i, "a")]))
     t.append(frame([(9, "b")]))
-    t.expire(keep=2)
+    t.expire(keep=2, grace=timedelta(0))
     assert rows(t.read()) == [(3, "a"), (9, "b")]
     assert len([n for n in t.storage.names("") if n.startswith("_v=")]) == 2
     assert len(t.storage.names(files.COMMITS)) == 2
@@ -257,7 +307,7 @@ def test_expire_leaves_states_within_the_grace(target, frame):
         t.replace(frame([(i, "a")]))
     t.expire(keep=1, grace=timedelta(hours=1))
     assert len(t.storage.names(files.COMMITS)) == 4
-    t.expire(keep=1)
+    t.expire(keep=1, grace=timedelta(0))
     assert len(t.storage.names(files.COMMITS)) == 1
 
 
