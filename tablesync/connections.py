@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablesync.errors import ConfigError
 from tablesync.sources.frames import FileSource, TableSource
 from tablesync.sources.jdbc import JdbcConnection, JdbcSource
 from tablesync.spec import TableSpec
@@ -45,6 +46,13 @@ class Files(FileSource):
         )
 
 
+def _refuse(spec: TableSpec, kind: str, *names: str) -> None:
+    """An option that would be dropped in silence is an error."""
+    given = [name for name in names if getattr(spec, name)]
+    if given:
+        raise ConfigError(f"{spec.name}: {kind} take no {', '.join(given)}")
+
+
 @dataclass(frozen=True)
 class Tables(TableSource):
     """The session's catalog."""
@@ -52,9 +60,10 @@ class Tables(TableSource):
     format: str = "parquet"
 
     def target(self, spark: SparkSession, spec: TableSpec) -> TableTarget:
+        _refuse(spec, "catalog tables", "sort_by", "cluster_by", "key_buckets")
         return TableTarget(
             spark, spec.target_name, format=self.format, partition_by=spec.partition_by,
-            write_partitions=spec.write_partitions,
+            write_partitions=spec.write_partitions, schema_evolution=spec.schema_evolution,
         )
 
 
@@ -66,6 +75,7 @@ class Database(JdbcSource):
     column_types: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     def target(self, spark: SparkSession, spec: TableSpec) -> JdbcTarget:
+        _refuse(spec, "databases", "partition_by", "sort_by", "cluster_by", "key_buckets")
         return JdbcTarget(
             spark, self.connection, spec.target_name, batchsize=spec.batchsize,
             write_partitions=spec.write_partitions,

@@ -19,13 +19,14 @@ class TableTarget:
 
     def __init__(
         self, spark: SparkSession, name: str, *, format: str = "parquet",
-        partition_by: Sequence[str] = (), write_partitions: int | None = None,
+        partition_by: Sequence[str] = (), write_partitions: int | None = None, schema_evolution: str = "strict",
     ):
         self.spark = spark
         self.name = name
         self.format = format
         self.partition_by = tuple(partition_by)
         self.write_partitions = write_partitions
+        self.schema_evolution = schema_evolution
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -38,6 +39,12 @@ class TableTarget:
 
     def _fitted(self, df: DataFrame) -> DataFrame:
         schema = self.read().schema
+        known = {c.lower() for c in schema.names}
+        new = [f for f in df.schema if f.name.lower() not in known]
+        if new and self.schema_evolution == "merge":  # the catalog adds columns, but changes no types
+            added = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({added})")
+            schema = self.read().schema
         merged_schema(schema, df.schema, "strict")
         return self._narrowed(fitted(df, schema))
 
