@@ -180,7 +180,8 @@ def neighbours(
         return spark.createDataFrame([], schema)
     by_hash = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
     share = min(1_000_000, int(1.1e6 * settings.sample_rows / n) + 1)
-    sample = np.array([r["v"] for r in rows.where(by_hash < share).limit(settings.sample_rows).collect()] or [rows.first()["v"]])
+    chosen = rows.where(by_hash < share).orderBy(F.xxhash64("id"), "id").limit(settings.sample_rows)
+    sample = np.array([r["v"] for r in chosen.collect()] or [rows.first()["v"]])
     leaves = min(settings.max_leaves, parts_for(n, settings.leaf_rows), max(1, len(sample) // 4))
     tree = spark.sparkContext.broadcast(fit_tree(sample, leaves, settings))
 

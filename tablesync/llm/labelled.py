@@ -23,4 +23,5 @@ def labelled_sample(
     marked = marked.where(F.col("y").isin(0, 1) & learn)
     chosen = written(marked.orderBy(F.xxhash64("id"), "id", "y").limit(rows), "labels")
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", "y").limit(2 * rows)
+    # an id that repeats counts once for each of its labels
+    return texts.join(F.broadcast(chosen), "id").select("id", "text", "y").dropDuplicates(["id", "y"])

@@ -110,8 +110,8 @@ def shingles(text: str, width: int) -> np.ndarray:
     if not n:
         return h
     if len(h) < width:
-        total = (h * _ODD[: len(h)]).sum(dtype=np.uint64) + _ODD[40 + len(h)]
-        return _mix(np.array([total], np.uint64), 32)
+        total = (h * _ODD[: len(h)]).sum(dtype=np.uint64, keepdims=True) + _ODD[40 + len(h)]
+        return _mix(total, 32)
     total = h[:n] * _ODD[0]
     for i in range(1, width):
         total = total + h[i : n + i] * _ODD[i]

@@ -404,7 +404,8 @@ def _snippets(docs: DataFrame, text_col: str, s: Settings) -> list[tuple[str, st
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns[:3]], pa.array(columns[3], pa.int32())], names=["l", "own", "r", "kind"])
 
     found = docs.select(text_col).mapInArrow(cut, "l string, own string, r string, kind int")
-    chosen = found.dropDuplicates(["own"]).orderBy(F.xxhash64("own", "l"), "own").limit(s.sample_windows)
+    once = found.groupBy("own", "kind").agg(F.min(F.struct("l", "r")).alias("c"))
+    chosen = once.select("c.l", "own", "c.r", "kind").orderBy(F.xxhash64("own"), "own", "kind").limit(s.sample_windows)
     return [tuple(row) for row in chosen.collect()]
 
 
