@@ -193,6 +193,7 @@ def scored(docs: DataFrame, net: Network | None, s: Settings = Settings(), id_co
                     found, focus = np.full(len(bags), 0.5), np.zeros(len(bags))
                 else:
                     found, f = own.forward(np.concatenate(bags), first)
+                    found = np.round(found, 12)  # sums over a batch may differ in their last bits
                     focus = [int(np.argmax(a)) for a in np.split(f["att"], first[1:])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64()), pa.array(focus, pa.int32())], names=schema.names)
 
