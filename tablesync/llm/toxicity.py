@@ -1,10 +1,10 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A document's features are its distinct words, pairs of neighbours, and pairs with one word between,
-each hashed to ``2**bits`` places. Follow-the-regularised-leader keeps per place a sum of gradients
+A document's features are its distinct words, their stems (the first four bytes of longer words),
+pairs of neighbours, and pairs with one word between, each hashed to ``2**bits`` places. Follow-the-regularised-leader keeps per place a sum of gradients
 and one of their squares: the first is soft-thresholded by ``l1``, so places seen little stay zero,
-the second sets the place's own learning rate. Shards of a bounded sample are trained side by side
-in tasks and averaged; only places that are not zero reach the driver and are broadcast, at most
+the second sets the place's own learning rate. Shards of a bounded sample, ``shard_rows`` rows each,
+are trained side by side in tasks and averaged; only places that are not zero reach the driver and are broadcast, at most
 ``2**bits`` of them.
 
 Defined results: a null or empty text has no features and gets the score of the bias; a null id is
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.common import written
+from tablesync.llm.common import parts_for, written
 from tablesync.llm.labelled import fold, labelled_sample
 
 _SEPARATORS = bytes(32 if not (b >= 128 or chr(b).isalnum() or b == 39) else b for b in range(256))
@@ -40,10 +40,13 @@ class Ftrl:
     l1: float = 10.0
     l2: float = 0.0
     rounds: int = 6
-    shards: int = 2
+    shard_rows: int = 6_000
     sample_rows: int = 12_000  # labelled rows learnt from, at most
 
 
+STEM = 4
+
+
 class WordHashes(dict):
     """Lower-case words to 32-bit hashes; emptied when it holds ``limit`` words."""
 
@@ -56,14 +59,26 @@ class WordHashes(dict):
         return found
 
 
-_hashes = WordHashes()  # one per Python worker
+class StemHashes(WordHashes):
+    """Words to the hash of the word and, above it, that of its stem; no stem (0) for short words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        stem = zlib.crc32(word[:STEM], STEM) if len(word) > STEM else 0
+        self[word] = found = zlib.crc32(word) | stem << 32
+        return found
+
+
+_hashes = StemHashes()  # one per Python worker
 
 
 def places(text: str, bits: int) -> np.ndarray:
-    """Hashed features in order of the text, with repeats; the last place is kept for the bias."""
+    """Hashed features of a text, with repeats; the last place is kept for the bias."""
     words = text.lower().encode("utf-8", "replace").translate(_SEPARATORS).split()
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    found = [(h + np.uint64(1)) * _MIX[0], h[:-1] * _MIX[1] + h[1:] * _MIX[2], h[:-2] * _MIX[3] + h[2:] * _MIX[4]]
+    both = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h, stems = both & np.uint64(2**32 - 1), both >> np.uint64(32)
+    found = [(h + np.uint64(1)) * _MIX[0], stems[stems > 0] * _MIX[3] + _MIX[1], h[:-1] * _MIX[1] + h[1:] * _MIX[2], h[:-2] * _MIX[3] + h[2:] * _MIX[4]]
     mixed = np.concatenate(found)
     mixed ^= mixed >> np.uint64(29)
     return ((mixed * _MIX[0]) >> np.uint64(64 - bits)).astype(np.int32) % np.int32(2**bits - 1)
@@ -105,7 +120,8 @@ def _features(sample: DataFrame, settings: Ftrl) -> DataFrame:
 def fit(sample: DataFrame, settings: Ftrl = Ftrl()) -> dict[int, float]:
     """Weights that are not zero, by place. ``sample`` has id, text, y."""
     examples = written(_features(sample, settings), "toxicity-sample")
-    sharded = examples.withColumn("shard", F.pmod(F.xxhash64("id", "at"), F.lit(settings.shards)))
+    shards = parts_for(examples.count(), settings.shard_rows)
+    sharded = examples.withColumn("shard", F.pmod(F.xxhash64("id", "at"), F.lit(shards)))
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["id", "y"], kind="stable", na_position="first")

@@ -107,3 +107,8 @@ def test_measures_of_odd_texts():
     for text in ("", " ", "a", "\n\n", "é" * 500, "a " * 10_000, " lead", "x" * 100_000):
         found = mil.passages(text, 64)
         assert found.shape[1] == mil.FEATURES and np.isfinite(found).all() and len(found) == max(1, -(-len(text.split()) // 64))
+
+
+def test_long_words_have_stems():
+    one, two = set(tox.places("worthless", 20).tolist()), set(tox.places("Worthy.", 20).tolist())
+    assert len(one) == len(two) == 2 and len(one & two) == 1
