@@ -40,17 +40,18 @@ def fresh_names(df: DataFrame, *names: str) -> list[str]:
     return made
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, safe when executors go."""
+def written(df: DataFrame, label: str, large: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, safe when executors go.
+
+    ``large`` says that making it shuffled much. Those shuffle files are of no more use, but Spark
+    deletes them only when the driver collects its garbage, so it is asked to."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
+    if large:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
-
-
 def words_of(text: Column) -> Column:
     """The words of a text, as an array; null for null."""
     for space in "\t\n\x0b\f\r":

@@ -42,6 +42,9 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.random.default_rng(2024).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SKETCH_BITS = 1024
 _KEEP = 5  # bytes of a hash that verification compares
+#: Ids of documents that share a key, up to which they are broadcast to find their texts: 8 bytes
+#: each. More are joined by shuffle.
+BROADCAST_IDS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -146,8 +149,13 @@ def join_keys(own: np.ndarray, rule: Likeness, layout: list[Band]) -> np.ndarray
     return np.unique(np.concatenate(keys)) if keys else own[:0]
 
 
+def _sums(own: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set."""
+    return int(_mix(own, 30).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(_mix(own, 31)).view(np.int64))
+
+
 def _sets(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, n, two hashes of the whole set, its sketch, its hashes, and keys (of a set's first row in a task)."""
+    """Per row: id, n, two hashes of the whole set, and keys (of a set's first row in a task)."""
     layout = bands(rule, 1 << 31)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,21 +167,19 @@ def _sets(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> DataFr
                 for own_id, value in zip(part.column(0), part.column(1), strict=True):
                     own = shingles(value.as_py() or "", rule.width)
                     if not len(own):
-                        rows.append((0, 0, 0, None, None, None))
+                        rows.append((0, 0, 0, None))
                         continue
-                    sums = (int(_mix(own, 30).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(_mix(own, 31)).view(np.int64)))
+                    sums = _sums(own)
                     new = own_id.is_valid and sums not in seen
                     if new:
                         seen.add(sums)
-                    small = own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEEP].tobytes()
-                    rows.append((len(own), *sums, parity(own) if new else None, small if new else None, join_keys(own, rule, layout).view(np.int64) if new else None))
-                n, s1, s2, sketch, small, keys = zip(*rows, strict=True)
+                    rows.append((len(own), *sums, join_keys(own, rule, layout).view(np.int64) if new else None))
+                n, s1, s2, keys = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                     pa.array(sketch, pa.binary()), pa.array(small, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["id", "n", "s1", "s2", "sketch", "hashes", "keys"])
+                     pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "s1", "s2", "keys"])
 
-    schema = "id long, n long, s1 long, s2 long, sketch binary, hashes binary, keys array<long>"
+    schema = "id long, n long, s1 long, s2 long, keys array<long>"
     return written(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(measure, schema), "shingle-sets")
 
 
@@ -212,6 +218,30 @@ def _shared_keys(sets: DataFrame, parts: int) -> DataFrame:
     return sorted_.select("key", "set", "id").mapInArrow(shared, "key long, node long")
 
 
+def _involved(docs: DataFrame, ids: DataFrame, rule: Likeness, id_col: str, text_col: str) -> DataFrame:
+    """(id, s1, s2, n, sketch, hashes) of the documents ``ids``: their sets are made again rather than kept for all."""
+    few = ids.count() <= BROADCAST_IDS
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = texts.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), "id")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                rows = []
+                for own_id, value in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    own = shingles(value.as_py() or "", rule.width)
+                    if len(own):
+                        small = own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEEP].tobytes()
+                        rows.append((own_id, *_sums(own), len(own), parity(own), small))
+                columns = list(zip(*rows, strict=True)) or [[]] * 6
+                kinds = [pa.int64()] * 4 + [pa.binary()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "s1", "s2", "n", "sketch", "hashes"])
+
+    schema = "id long, s1 long, s2 long, n long, sketch binary, hashes binary"
+    return texts.select("id", "text").mapInArrow(measure, schema).dropDuplicates(["id", "s1", "s2"])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Likeness) -> DataFrame:
     """The pairs (a, b) that link. Each pair brings one set to the other's rows; the join may be split."""
     own = sets.select("id", "n", "hashes")
@@ -334,25 +364,25 @@ def linked(docs: DataFrame, rule: Likeness = Likeness(), id_col: str = "doc_id",
     every = _sets(docs, rule, id_col, text_col)
     classes = every.where("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("class"))
     classes = written(classes, "set-classes")
-    # a set's first rows in each task have its sketch and hashes; one of them stands for the set
-    held = every.where("sketch is not null").select("s1", "s2", "n", "sketch", "hashes").dropDuplicates(["s1", "s2"])
     ids = every.where("keys is not null").select("id", "s1", "s2").join(classes, ["s1", "s2"]).select(F.col("id").alias("node"), "class").distinct()
-    shared = written(_shared_keys(every.where("id is not null"), parts), "shared-keys")
+    shared = written(_shared_keys(every.where("id is not null"), parts), "shared-keys", large=True)
     shared = written(shared.join(ids, "node").select("key", F.col("class").alias("node")).distinct(), "shared-keys")
-    involved = shared.select(F.col("node").alias("id")).distinct()
-    sets = written(classes.withColumnRenamed("class", "id").join(involved, "id").join(held, ["s1", "s2"]).select("id", "n", "sketch", "hashes"), "shared-sets")
+    involved = written(shared.select(F.col("node").alias("id")).distinct(), "shared-ids")
+    own_sets = _involved(docs, involved, rule, id_col, text_col)
+    named = classes.withColumnRenamed("class", "id")
+    sets = written(own_sets.join(named, ["id", "s1", "s2"], "left_semi").select("id", "n", "sketch", "hashes"), "shared-sets", large=True)
 
-    links = written(_verified(_first_pairs(shared, sets, rule), sets, rule), "links")
+    links = written(_verified(_first_pairs(shared, sets, rule), sets, rule), "links", large=True)
     labels, most = components(links), 8
     while True:
         known = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
         mixed = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-        found = written(_cross_pairs(known.join(mixed, "key"), sets, rule, most, parts), "cross-pairs")
+        found = written(_cross_pairs(known.join(mixed, "key"), sets, rule, most, parts), "cross-pairs", large=True)
         n, more = found.agg(F.count("*"), F.max("more")).first()
         if n == 0:
             break
         new = _verified(found.select("a", "b").distinct(), sets, rule)
-        links = written(links.unionByName(new), "links")
+        links = written(links.unionByName(new), "links", large=True)
         labels = components(links)
         if not more:
             break
@@ -367,9 +397,14 @@ def linked(docs: DataFrame, rule: Likeness = Likeness(), id_col: str = "doc_id",
 def one_of_each(docs: DataFrame, rule: Likeness = Likeness(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the smallest id of each component, with their own columns; rows without id stay.
 
-    Only ids are joined in; of rows with equal ids one stays."""
+    Only ids are joined in, and texts stay where they are while the ids may be broadcast; of rows
+    with equal ids one stays."""
     own = docs.columns
-    found = linked(docs, rule, id_col, text_col)
-    keep = found.where(F.col("component_id") == F.col(id_col)).select(F.col(id_col)).distinct()
-    kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    found = written(linked(docs, rule, id_col, text_col).select(F.col(id_col).alias("id"), "component_id"), "near-duplicates")
+    times = written(found.where("id = component_id").groupBy("id").agg(F.count("*").alias("n")), "near-duplicates-kept")
+    n, most = times.agg(F.count("*"), F.max("n")).first()
+    keep = times.select(F.col("id").alias(id_col))
+    kept = docs.join(F.broadcast(keep) if n <= BROADCAST_IDS else keep.hint("shuffle_hash"), id_col, "left_semi")
+    if (most or 0) > 1:
+        kept = kept.dropDuplicates([id_col])
     return kept.select(*own).unionByName(docs.where(F.col(id_col).isNull()).select(*own))

@@ -2,9 +2,9 @@
 
 A byte goes if a string of ``length`` bytes over it also starts anywhere else, in any document.
 
-Equal strings are brought together by minimizers: of the 16-byte grams in every window of ``length``
-bytes the one of least hash is the window's anchor, so equal windows have equal anchors at equal
-places. The windows of one anchor are one region of a document. Regions are counted by content
+Equal strings are brought together by minimizers: of the grams (64 bytes, at the usual length) in
+every window of ``length`` bytes the one of least hash is the window's anchor, so equal windows have
+equal anchors at equal places, and other text seldom has the same. The windows of one anchor are one region of a document. Regions are counted by content
 first: one that occurs twice is all repeat. Only anchors that still have several distinct regions
 are indexed, each region once however often it occurs.
 
@@ -40,25 +40,38 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import parts_for, written
 
 GRAM = 16
+#: Rows of a counted table (regions or stretches, some 50 bytes each) up to which it is broadcast and
+#: texts stay where they are; beyond, they are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 _ODD = np.random.default_rng(77).integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POSITIONS = 1 << 22  # windows handled at once; places in them fit the low 24 bits of a key
 _LOW = np.uint64((1 << 24) - 1)
 
 
+def gram_of(length: int) -> int:
+    """Bytes of a gram: long enough that chance does not repeat it, short against the window."""
+    return GRAM * max(1, min(4, length // 100))
+
+
 def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hashes, and first and last window of each region."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    windows = len(raw) - length + 1
+    windows, gram = len(raw) - length + 1, gram_of(length)
     for at in range(0, max(windows, 0), _POSITIONS):
         n = min(_POSITIONS, windows - at)
         own = np.frombuffer(raw, np.uint8, n + length - 1, at)
         words = np.lib.stride_tricks.as_strided(own[: len(own) - 7].view(), (len(own) - 7, 8), (1, 1))
         words = np.ascontiguousarray(words).view("<u8").ravel()
-        grams = words[: len(own) - GRAM + 1] * _ODD[0] + words[8 : len(own) - 7] * _ODD[1]
-        grams ^= grams >> np.uint64(32)
-        grams *= _ODD[2]
+        short = words[: len(own) - GRAM + 1] * _ODD[0] + words[8 : len(own) - 7] * _ODD[1]
+        short ^= short >> np.uint64(32)
+        count = len(own) - gram + 1
+        grams = short[:count] * _ODD[2]
+        for i in range(GRAM, gram, GRAM):
+            grams += short[i : i + count] * _ODD[2 + i // GRAM]
+        grams ^= grams >> np.uint64(29)
+        grams *= _ODD[7]
         keys = (grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64)  # by hash, then leftmost
-        wide = length - GRAM + 1
+        wide = length - gram + 1
         padded = np.full(-(-len(keys) // wide) * wide, np.uint64(2**64 - 1))
         padded[: len(keys)] = keys
         blocks = padded.reshape(-1, wide)
@@ -175,11 +188,15 @@ def _regions(every: DataFrame) -> DataFrame:
     return every.where("size(ah) > 0").select(F.col("id"), zipped).select("id", "r.ah", "r.rd", "r.start", "r.size")
 
 
-def _bytes_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sent(side: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(side) if rows <= BROADCAST_ROWS else side.hint("shuffle_hash")
+
+
+def _bytes_of(docs: DataFrame, wanted: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
     """(ah, rd, bytes) of the regions ``wanted`` (id, ah, rd, start, size), cut out of their documents."""
     lists = wanted.groupBy("id").agg(F.collect_list(F.struct("ah", "rd", "start", "size")).alias("cuts"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
-    joined = texts.join(lists.hint("shuffle_hash"), "id").select("text", "cuts")
+    joined = texts.join(_sent(lists, rows), "id").select("text", "cuts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,13 +227,13 @@ def _by_window(regions: DataFrame, length: int) -> DataFrame:
 def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: int, hot_regions: int, id_col: str, text_col: str) -> DataFrame:
     """(ah, rd, from, to): the repeated stretches of each distinct region."""
     kinds = written(
-        places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "size")).alias("one")), "region-kinds")
+        places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "size")).alias("one")), "region-kinds", large=True)
     whole = kinds.where("n > 1").select("ah", "rd", F.lit(0).alias("from"), F.col("one.size").alias("to"))
     several = kinds.groupBy("ah").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = kinds.join(several, "ah").select("one.id", "ah", "rd", "one.start", "one.size", (F.col("kinds") > hot_regions).alias("hot"))
-    wanted = written(wanted, "regions-wanted")
-    total, n_hot = wanted.agg(F.sum("size"), F.sum(F.col("hot").cast("int"))).first()
-    texts = written(_bytes_of(docs, wanted.drop("hot"), id_col, text_col), "region-bytes")
+    wanted = written(wanted, "regions-wanted", large=True)
+    rows, total, n_hot = wanted.agg(F.count("*"), F.sum("size"), F.sum(F.col("hot").cast("int"))).first()
+    texts = written(_bytes_of(docs, wanted.drop("hot"), rows, id_col, text_col), "region-bytes", large=True)
     cool = texts
     parts = [whole]
     if n_hot:
@@ -250,16 +267,18 @@ def without_repeats(
         raise ValueError(f"length must be over {GRAM}")
     every = _documents(docs, length, id_col, text_col)
     copies = written(every.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min("id").alias("class")), "content-classes")
-    places = written(_regions(every), "region-places")
-    # a content's first rows in several tasks are one document
-    doubles = every.where("ah is not null").groupBy("c1", "c2").agg(F.min("id").alias("keep"), F.count("*").alias("n")).where("n > 1")
-    surplus = every.where("ah is not null").select("id", "c1", "c2").join(doubles, ["c1", "c2"]).where("id != keep").select("id")
-    places = places.join(surplus, "id", "left_anti")
-    marks = _stretches(docs, places, length, bucket_bytes, hot_regions, id_col, text_col)
-    marked = places.join(marks, ["ah", "rd"]).select("id", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    by_document = marked.groupBy("id").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    # Copies first met in several tasks count as several; their regions are then whole repeats, as all of a copy is.
+    places = _regions(every)
+    marks = written(_stretches(docs, places, length, bucket_bytes, hot_regions, id_col, text_col), "stretches", large=True)
+    marks_by_region = marks.distinct()
+    if marks.count() <= BROADCAST_ROWS:
+        marks_by_region = F.broadcast(marks_by_region)
+    marked = places.join(marks_by_region, ["ah", "rd"])
+    marked = marked.select("id", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    by_document = written(marked.groupBy("id").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "document-stretches", large=True)
+    spans = by_document.agg(F.sum(F.size("spans"))).first()[0] or 0
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    joined = texts.join(by_document.hint("shuffle_hash"), "id").select("id", "text", "spans")
+    joined = texts.join(_sent(by_document, spans), "id").select("id", "text", "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
