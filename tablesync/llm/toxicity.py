@@ -3,9 +3,9 @@
 A document's features are its distinct words, their stems (the first four bytes of longer words),
 pairs of neighbours, and pairs with one word between, each hashed to ``2**bits`` places. Follow-the-regularised-leader keeps per place a sum of gradients
 and one of their squares: the first is soft-thresholded by ``l1``, so places seen little stay zero,
-the second sets the place's own learning rate. Shards of a bounded sample, ``shard_rows`` rows each,
-are trained side by side in tasks and averaged; only places that are not zero reach the driver and are broadcast, at most
-``2**bits`` of them.
+the second sets the place's own learning rate. One learner goes through all of a bounded sample, in
+one task, so that scores mean the same at any size; only places that are not zero reach the driver
+and are broadcast, at most ``2**bits`` of them.
 
 Defined results: a null or empty text has no features and gets the score of the bias; a null id is
 not held out and not learnt from; null labels are not learnt from; without labels every score is
@@ -14,18 +14,18 @@ not held out and not learnt from; null labels are not learnt from; without label
 
 from __future__ import annotations
 
+import tempfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.common import parts_for, written
+from tablesync.llm.common import written
 from tablesync.llm.labelled import fold, labelled_sample
 
 _SEPARATORS = bytes(32 if not (b >= 128 or chr(b).isalnum() or b == 39) else b for b in range(256))
@@ -40,7 +40,6 @@ class Ftrl:
     l1: float = 10.0
     l2: float = 0.0
     rounds: int = 6
-    shard_rows: int = 6_000
     sample_rows: int = 12_000  # labelled rows learnt from, at most
 
 
@@ -120,24 +119,29 @@ def _features(sample: DataFrame, settings: Ftrl) -> DataFrame:
 def fit(sample: DataFrame, settings: Ftrl = Ftrl()) -> dict[int, float]:
     """Weights that are not zero, by place. ``sample`` has id, text, y."""
     examples = written(_features(sample, settings), "toxicity-sample")
-    shards = parts_for(examples.count(), settings.shard_rows)
-    sharded = examples.withColumn("shard", F.pmod(F.xxhash64("id", "at"), F.lit(shards)))
-
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["id", "y"], kind="stable", na_position="first")
-        at = [np.frombuffer(b, "<i4") for b in frame["at"]]
-        learner, random = Learner(settings), np.random.default_rng(1)
-        y = frame["y"].tolist()
-        for _ in range(settings.rounds):
-            for i in random.permutation(len(y)):
-                learner.learn(at[i], y[i])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tempfile.TemporaryFile() as spool:  # read once for each round; the places of long texts need not fit in memory
+            sizes, y = [], []
+            for batch in batches:
+                for value in batch.column(1):
+                    sizes.append(spool.write(value.as_py()) // 4)
+                y += batch.column(2).to_pylist()
+            if not y:
+                return
+            spool.flush()
+            every, ends = np.memmap(spool, "<i4", "r"), np.cumsum(sizes)
+            learner, random = Learner(settings), np.random.default_rng(1)
+            for _ in range(settings.rounds):
+                for i in random.permutation(len(y)):
+                    learner.learn(np.array(every[ends[i] - sizes[i] : ends[i]]), y[i])
+            del every
         used = np.flatnonzero(learner.z)
         w = learner.weights(used)
-        return pd.DataFrame({"at": used[w != 0], "w": w[w != 0]})
+        yield pa.RecordBatch.from_arrays([pa.array(used[w != 0], pa.int32()), pa.array(w[w != 0])], names=["at", "w"])
 
-    trained = sharded.groupBy("shard").applyInPandas(train, "at int, w double")
-    n = max(1, sharded.select("shard").distinct().count())
-    return {r["at"]: r["w"] / n for r in trained.groupBy("at").agg(F.sum("w").alias("w")).collect()}
+    ordered = examples.coalesce(1).sortWithinPartitions("id", "y", "at")
+    return {r["at"]: r["w"] for r in ordered.mapInArrow(train, "at int, w double").collect()}
 
 
 def scored(docs: DataFrame, weights: dict[int, float], settings: Ftrl = Ftrl(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

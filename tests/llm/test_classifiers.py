@@ -112,3 +112,16 @@ def test_measures_of_odd_texts():
 def test_long_words_have_stems():
     one, two = set(tox.places("worthless", 20).tolist()), set(tox.places("Worthy.", 20).tolist())
     assert len(one) == len(two) == 2 and len(one & two) == 1
+
+
+def test_large_samples_are_learnt_by_one_learner(spark, prose):
+    rows = [(i, f"{prose(i, 12)} {'zorblat' if i % 1400 == 3 else ''} {BAD[i % 3] if i % 7 == 0 else ''}", int(i % 7 == 0 or i % 1400 == 3)) for i in range(7000)]
+    settings = tox.Ftrl(bits=14, rounds=2)
+    got = tox.fit(spark.createDataFrame(rows, "id long, text string, y int").repartition(5), settings)
+    learner, r = tox.Learner(settings), np.random.default_rng(1)
+    at = [np.append(np.unique(tox.places(text, 14)), 2**14 - 1) for _, text, _ in rows]
+    for _ in range(settings.rounds):
+        for i in r.permutation(len(rows)):
+            learner.learn(at[i], rows[i][2])
+    w = learner.weights(np.arange(2**14))
+    assert got == {i: w[i] for i in np.flatnonzero(w).tolist()}
