@@ -19,10 +19,10 @@ Whole copies are one document to all of this. An anchor with more than ``hot_reg
 regions is not one task's work: its windows are compared by their hashes instead, with sums.
 
 Defined results: a null text is empty; documents shorter than ``length`` bytes lose nothing and
-repeat nothing; overlaps count, also within a document; rows with equal ids and texts are copies of
-each other; rows with equal ids and different texts are not supported (one id names one text); a
-null id takes part like any other as long as it is the only one; an empty table gives no rows;
-other columns are left out. Regions and windows are compared by 128 bits of hash.
+repeat nothing; overlaps count, also within a document; rows of equal texts are copies of each other
+whatever their ids, and ids may be null or name several texts, as rows are told apart by content;
+an empty table gives no rows; other columns are left out. Contents, regions and windows are compared
+by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -100,7 +100,7 @@ def _documents(docs: DataFrame, length: int, id_col: str, text_col: str) -> Data
                 for value in part.column(1):
                     raw = (value.as_py() or "").encode("utf-8", "replace")
                     sha = hashlib.sha256(raw)
-                    content = tuple(np.frombuffer(sha.digest()[:16], "<i8").tolist())
+                    content = tuple(np.frombuffer(sha.digest()[:16], ">i8").tolist())
                     row = [len(raw), sha.hexdigest(), *content, None, None, None, None]
                     if content not in seen:
                         seen.add(content)
@@ -185,7 +185,14 @@ def repeats(regions: list[bytes], length: int) -> list[tuple[int, int, int]]:
 
 def _regions(every: DataFrame) -> DataFrame:
     zipped = F.explode(F.arrays_zip("ah", "rd", "start", "size")).alias("r")
-    return every.where("size(ah) > 0").select(F.col("id"), zipped).select("id", "r.ah", "r.rd", "r.start", "r.size")
+    return every.where("size(ah) > 0").select("c1", "c2", "id", zipped).select("c1", "c2", "id", "r.ah", "r.rd", "r.start", "r.size")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text and the two hashes of its content, as in ``_documents``."""
+    sha = F.sha2(F.col(text_col).cast("binary"), 256)
+    c1, c2 = (F.conv(F.substring(sha, at, 16), 16, -10).cast("long").alias(name) for at, name in ((1, "c1"), (17, "c2")))
+    return docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), c1, c2)
 
 
 def _sent(side: DataFrame, rows: int) -> DataFrame:
@@ -193,16 +200,23 @@ def _sent(side: DataFrame, rows: int) -> DataFrame:
 
 
 def _bytes_of(docs: DataFrame, wanted: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(ah, rd, bytes) of the regions ``wanted`` (id, ah, rd, start, size), cut out of their documents."""
-    lists = wanted.groupBy("id").agg(F.collect_list(F.struct("ah", "rd", "start", "size")).alias("cuts"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
-    joined = texts.join(_sent(lists, rows), "id").select("text", "cuts")
+    """(ah, rd, bytes) of the regions ``wanted`` (c1, c2, id, ah, rd, start, size), cut out of their documents.
+
+    Rows that repeat both id and text give their regions once in each task."""
+    lists = wanted.groupBy("c1", "c2", F.col("id").alias("own")).agg(F.collect_list(F.struct("ah", "rd", "start", "size")).alias("cuts"))
+    texts, lists = _texts(docs, id_col, text_col).alias("t"), _sent(lists, rows).alias("l")
+    same = (F.col("t.c1") == F.col("l.c1")) & (F.col("t.c2") == F.col("l.c2")) & F.col("id").eqNullSafe(F.col("own"))
+    joined = texts.join(lists, same).select("t.c1", "t.c2", "text", "cuts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 ah, rd, own = [], [], []
-                for text, cuts in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns), strict=True):
+                for c1, c2, text, cuts in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns), strict=True):
+                    if (c1, c2) in seen:
+                        continue
+                    seen.add((c1, c2))
                     raw = text.encode("utf-8", "replace")
                     for c in cuts:
                         ah.append(c["ah"])
@@ -227,10 +241,10 @@ def _by_window(regions: DataFrame, length: int) -> DataFrame:
 def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: int, hot_regions: int, id_col: str, text_col: str) -> DataFrame:
     """(ah, rd, from, to): the repeated stretches of each distinct region."""
     kinds = written(
-        places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("id", "start", "size")).alias("one")), "region-kinds", large=True)
+        places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("c1", "c2", "id", "start", "size")).alias("one")), "region-kinds", large=True)
     whole = kinds.where("n > 1").select("ah", "rd", F.lit(0).alias("from"), F.col("one.size").alias("to"))
     several = kinds.groupBy("ah").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = kinds.join(several, "ah").select("one.id", "ah", "rd", "one.start", "one.size", (F.col("kinds") > hot_regions).alias("hot"))
+    wanted = kinds.join(several, "ah").select("one.c1", "one.c2", "one.id", "ah", "rd", "one.start", "one.size", (F.col("kinds") > hot_regions).alias("hot"))
     wanted = written(wanted, "regions-wanted", large=True)
     rows, total, n_hot = wanted.agg(F.count("*"), F.sum("size"), F.sum(F.col("hot").cast("int"))).first()
     texts = written(_bytes_of(docs, wanted.drop("hot"), rows, id_col, text_col), "region-bytes", large=True)
@@ -242,7 +256,7 @@ def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: in
         cool = texts.join(hot, "ah", "left_anti")
 
     def index(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["ah", "rd"]).reset_index(drop=True)
+        frame = frame.drop_duplicates(["ah", "rd"]).sort_values(["ah", "rd"]).reset_index(drop=True)
         found = repeats(frame["bytes"].tolist(), length)
         rows = [x[0] for x in found]
         return pd.DataFrame({
@@ -266,7 +280,7 @@ def without_repeats(
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
     every = _documents(docs, length, id_col, text_col)
-    copies = written(every.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min("id").alias("class")), "content-classes")
+    copies = written(every.groupBy("c1", "c2").agg(F.count("*").alias("copies")), "content-classes")
     # Copies first met in several tasks count as several; their regions are then whole repeats, as all of a copy is.
     places = _regions(every)
     marks = written(_stretches(docs, places, length, bucket_bytes, hot_regions, id_col, text_col), "stretches", large=True)
@@ -274,18 +288,20 @@ def without_repeats(
     if marks.count() <= BROADCAST_ROWS:
         marks_by_region = F.broadcast(marks_by_region)
     marked = places.join(marks_by_region, ["ah", "rd"])
-    marked = marked.select("id", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
-    by_document = written(marked.groupBy("id").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "document-stretches", large=True)
+    marked = marked.select("c1", "c2", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    by_content = marked.groupBy("c1", "c2").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    # all of a copy goes, so what is left has one row for each content
+    by_content = by_content.join(copies.where("copies > 1"), ["c1", "c2"], "left_anti")
+    by_document = written(by_content, "document-stretches", large=True)
     spans = by_document.agg(F.sum(F.size("spans"))).first()[0] or 0
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    joined = texts.join(_sent(by_document, spans), "id").select("id", "text", "spans")
+    joined = _texts(docs, id_col, text_col).join(_sent(by_document, spans), ["c1", "c2"]).select("c1", "c2", "text", "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 rows = []
-                for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for text, spans in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                     raw, kept, end, runs = text.encode("utf-8", "replace"), [], 0, 0
                     for a, b in sorted((s["from"], s["to"]) for s in spans):
                         if a > end or not runs:
@@ -296,11 +312,11 @@ def without_repeats(
                     rows.append((len(raw) - len(left), runs, hashlib.sha256(left).hexdigest(), left))
                 removed, runs, sha, left = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha), pa.array(left, pa.binary())],
-                    names=["id", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    [part.column(0), part.column(1), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha), pa.array(left, pa.binary())],
+                    names=["c1", "c2", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    cut = joined.mapInArrow(remove, "id long, n_removed long, n_spans long, kept_sha256 string, kept binary").dropDuplicates(["id"])
-    rows = every.select("id", "n_bytes", "sha", "c1", "c2").join(copies, ["c1", "c2"]).join(cut, "id", "left")
+    cut = joined.mapInArrow(remove, "c1 long, c2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    rows = every.select("id", "n_bytes", "sha", "c1", "c2").join(copies, ["c1", "c2"]).join(cut, ["c1", "c2"], "left")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     return rows.select(
         F.col("id").alias(id_col), "n_bytes",

@@ -71,3 +71,16 @@ def test_repeated_rows_and_empty_table(documents, prose):
     assert without_repeats(docs.where("false")).count() == 0
     with pytest.raises(ValueError):
         without_repeats(docs, 16)
+
+
+@pytest.mark.parametrize("hot, rows", [(20_000, 1_000_000), (2, 1_000_000), (20_000, 0)])
+def test_ids_that_are_null_or_name_several_texts(documents, prose, monkeypatch, hot, rows):
+    monkeypatch.setattr("tablesync.llm.run_length_index.BROADCAST_ROWS", rows)
+    passage, copied = prose(1, 12), prose(2, 40)
+    halves = passage[: len(passage) // 2 + 30], passage[len(passage) // 2 - 30 :]
+    texts = [f"{prose(3, 9)} {passage} {prose(4, 9)}", f"{prose(5, 20)} {passage}", f"{passage} {prose(6, 25)}", f"{prose(7, 9)} {halves[0]}", f"{halves[1]} {prose(8, 9)}"]
+    texts += [copied, copied, copied, f"{prose(9, 9)} {copied[20:120]} {prose(10, 9)}", prose(11, 30), None, "short"]
+    ids = [None, None, 7, 7, 7, None, None, 7, 8, 7, None, None]
+    docs = documents(list(zip(ids, texts)))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in without_repeats(docs, 50, bucket_bytes=2000, hot_regions=hot).collect()]
+    assert Counter(got) == Counter((i, *x) for i, x in zip(ids, by_hand(texts, 50)))
