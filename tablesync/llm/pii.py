@@ -6,7 +6,9 @@ whole by its features (digits, letters, marks, spaces, what stands left and righ
 words). Dynamic programming chooses boundaries and types together; an entity is added if it is in
 the best segmentation, touches no base span, and has at least ``sure`` of the probability mass.
 An entity must hold a seed (a digit, an @, or a written-out at or dot), so text without seeds outside
-base spans needs no programming, and windows are cut where no entity could reach across.
+base spans needs no programming, and windows are cut where no entity could reach across. A window
+is handled in blocks of ``BLOCK`` tokens: only sums per token are kept across blocks, so a text that is
+all digits needs little more memory than any other, with the same result as in one piece.
 
 Weights are learnt by maximum likelihood on a bounded sample: windows around base spans of the
 corpus (their spans also rewritten as people write them: other separators, no prefix, "at" and
@@ -31,6 +33,7 @@ from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
+BLOCK = 2048  # tokens whose segments are held at once
 _REACH = 160  # characters of context on either side of a seed; entities and cues lie within it
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -109,19 +112,42 @@ class Window:
     first: np.ndarray  # of each segment: its first token
     last: np.ndarray  # and the token after its last
     features: np.ndarray  # a row of feature numbers per segment
-    n: int
+    n: int  # tokens
 
 
 def _kind(token: str) -> int:
     return 0 if token[0].isalpha() else 1 if "0" <= token[0] <= "9" else 2 if token[0] == "+" else 3
 
 
+def _tokens(text: str, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the tokens of text[start:end]."""
+    places = np.fromiter((x for m in _TOKEN.finditer(text, start, end) for x in m.span()), np.int64).reshape(-1, 2)
+    return places[:, 0].copy(), places[:, 1].copy()
+
+
+def _union(fixed: list[Span]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches that the spans cover together, in order."""
+    joined: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in fixed):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    both = np.array(joined, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 def window(text: str, start: int, end: int, fixed: list[Span]) -> Window:
     """The window of text[start:end]; segments touch no ``fixed`` span."""
-    matches = list(_TOKEN.finditer(text, start, end))
-    words = [m[0] for m in matches]
-    starts = np.array([m.start() for m in matches], np.int64)
-    ends = np.array([m.end() for m in matches], np.int64)
+    starts, ends = _tokens(text, start, end)
+    return _segments(text, starts, ends, _union(fixed), 0, len(starts))
+
+
+def _segments(text: str, all_starts: np.ndarray, all_ends: np.ndarray, covered: tuple[np.ndarray, np.ndarray], low_token: int, high_token: int) -> Window:
+    """The window with the segments whose first token is one of low_token:high_token."""
+    origin = max(0, low_token - 4)  # features look at three tokens before a segment and two after it
+    starts, ends = (x[origin : high_token + MAX_TOKENS + 2] for x in (all_starts, all_ends))
+    words = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
     n = len(words)
     kinds = np.array([_kind(w) for w in words], np.int64)
     low = [w.lower() for w in words]
@@ -133,15 +159,15 @@ def window(text: str, start: int, end: int, fixed: list[Span]) -> Window:
     seed = (kinds == 1) | marks["@"] | said["dot"]
     for i in np.flatnonzero(said["at"]):
         seed[i] |= 0 < i < n - 1 and words[i - 1] in "[(" and words[i + 1] in "])"
-    taken = np.zeros(n, bool)
-    for _, a, b in fixed:
-        taken |= (starts < b) & (ends > a)
+    before_end = np.searchsorted(covered[0], ends)  # stretches that begin before the token's end
+    taken = np.append(-1, covered[1])[before_end] > starts
 
     def upto(values: np.ndarray) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(values)])
 
     size = np.where(kinds == 1, ends - starts, 0)
-    first, last = np.repeat(np.arange(n), MAX_TOKENS), (np.arange(n)[:, None] + np.arange(1, MAX_TOKENS + 1)).ravel()
+    own_tokens = np.arange(low_token - origin, high_token - origin)
+    first, last = np.repeat(own_tokens, MAX_TOKENS), (own_tokens[:, None] + np.arange(1, MAX_TOKENS + 1)).ravel()
     keep = last <= n
     first, last = first[keep], last[keep]
     keep = (upto(seed)[last] > upto(seed)[first]) & (upto(taken)[last] == upto(taken)[first])
@@ -186,7 +212,7 @@ def window(text: str, start: int, end: int, fixed: list[Span]) -> Window:
         "loose": np.minimum(within(loose) - loose[last - 1], 3) if n else first,
     }
     features = np.stack([_BASES[k] + np.asarray(v, np.int64) for k, v in columns.items()], axis=1)
-    return Window(starts, ends, first, last, features, n)
+    return Window(all_starts, all_ends, first + origin, last + origin, features, len(all_starts))
 
 
 # --- the field -------------------------------------------------------------------------------
@@ -194,7 +220,10 @@ def window(text: str, start: int, end: int, fixed: list[Span]) -> Window:
 
 def scores_of(w: Window, weights: np.ndarray) -> np.ndarray:
     """Score of each segment (rows) as each kind; ordinary tokens score 0."""
-    return weights[w.features].sum(axis=1) + weights[-1]
+    total = np.zeros((len(w.features), weights.shape[1]))
+    for column in w.features.T:
+        total += weights[column]
+    return total + weights[-1]
 
 
 def _log_sum(values: np.ndarray) -> float:
@@ -202,43 +231,72 @@ def _log_sum(values: np.ndarray) -> float:
     return float(top + np.log(np.exp(values - top).sum()))
 
 
+def _grouped(tokens: np.ndarray, low: int, high: int) -> list[np.ndarray]:
+    """For each of the tokens low:high, which of ``tokens`` are it."""
+    order = np.argsort(tokens, kind="stable")
+    return np.split(order, np.searchsorted(tokens[order], np.arange(low, high + 1)))[1:-1]
+
+
+def _kinds_together(scores: np.ndarray) -> np.ndarray:
+    return np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
+
+
+def _go_ahead(w: Window, scores: np.ndarray, ahead: np.ndarray, low: int, high: int) -> None:
+    """Log sums up to the tokens low + 1 to high, by all segments that end there."""
+    best = _kinds_together(scores)
+    for j, own in enumerate(_grouped(w.last, low + 1, high + 1), low + 1):
+        ahead[j] = _log_sum(np.append(ahead[w.first[own]] + best[own], ahead[j - 1])) if len(own) else ahead[j - 1]
+
+
+def _go_behind(w: Window, scores: np.ndarray, behind: np.ndarray, low: int, high: int) -> None:
+    """Log sums from the tokens low to high - 1, by all segments that begin there."""
+    best = _kinds_together(scores)
+    for j, own in zip(range(high - 1, low - 1, -1), reversed(_grouped(w.first, low, high)), strict=True):
+        behind[j] = _log_sum(np.append(behind[w.last[own]] + best[own], behind[j + 1])) if len(own) else behind[j + 1]
+
+
 def _passes(w: Window, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log sums of all segmentations up to, and from, each token."""
-    best = np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
     ahead, behind = np.zeros(w.n + 1), np.zeros(w.n + 1)
-    by_last, by_first = np.argsort(w.last, kind="stable"), np.argsort(w.first, kind="stable")
-    cut_last = np.searchsorted(w.last[by_last], np.arange(w.n + 2))
-    cut_first = np.searchsorted(w.first[by_first], np.arange(w.n + 2))
-    for j in range(1, w.n + 1):
-        own = by_last[cut_last[j] : cut_last[j + 1]]
-        ahead[j] = _log_sum(np.append(ahead[w.first[own]] + best[own], ahead[j - 1])) if len(own) else ahead[j - 1]
-    for j in range(w.n - 1, -1, -1):
-        own = by_first[cut_first[j] : cut_first[j + 1]]
-        behind[j] = _log_sum(np.append(behind[w.last[own]] + best[own], behind[j + 1])) if len(own) else behind[j + 1]
+    _go_ahead(w, scores, ahead, 0, w.n)
+    _go_behind(w, scores, behind, 0, w.n)
     return ahead, behind
 
 
+class _Path:
+    """The best segmentation up to each token: its score, and the segment that ends there, if one does."""
+
+    def __init__(self, n: int):
+        self.top, self.segment, self.first = np.zeros(n + 1), np.full(n + 1, -1), np.zeros(n + 1, np.int64)
+        self.kind, self.score = np.zeros(n + 1, np.int64), np.zeros(n + 1)
+
+    def go(self, w: Window, scores: np.ndarray, low: int, high: int) -> None:
+        kind, value = scores.argmax(axis=1), scores.max(axis=1)
+        for j, own in enumerate(_grouped(w.last, low + 1, high + 1), low + 1):
+            self.top[j] = self.top[j - 1]
+            if len(own):
+                sums = self.top[w.first[own]] + value[own]
+                if sums.max() > self.top[j]:
+                    i = own[sums.argmax()]
+                    self.top[j], self.segment[j], self.first[j], self.kind[j], self.score[j] = sums.max(), i, w.first[i], kind[i], value[i]
+
+    def ends(self) -> list[int]:
+        """Where the segments of the best segmentation end."""
+        found, j = [], len(self.top) - 1
+        while j > 0:
+            if self.segment[j] < 0:
+                j -= 1
+            else:
+                found.append(j)
+                j = int(self.first[j])
+        return found[::-1]
+
+
 def _best(w: Window, scores: np.ndarray) -> list[tuple[int, int]]:
     """Segments and kinds of the best segmentation."""
-    kind, value = scores.argmax(axis=1), scores.max(axis=1)
-    by_last = np.argsort(w.last, kind="stable")
-    cut = np.searchsorted(w.last[by_last], np.arange(w.n + 2))
-    top, chosen = np.zeros(w.n + 1), np.full(w.n + 1, -1)
-    for j in range(1, w.n + 1):
-        own = by_last[cut[j] : cut[j + 1]]
-        top[j] = top[j - 1]
-        if len(own):
-            sums = top[w.first[own]] + value[own]
-            if sums.max() > top[j]:
-                top[j], chosen[j] = sums.max(), own[sums.argmax()]
-    found, j = [], w.n
-    while j > 0:
-        if chosen[j] < 0:
-            j -= 1
-        else:
-            found.append((int(chosen[j]), int(kind[chosen[j]])))
-            j = int(w.first[chosen[j]])
-    return found[::-1]
+    path = _Path(w.n)
+    path.go(w, scores, 0, w.n)
+    return [(int(path.segment[j]), int(path.kind[j])) for j in path.ends()]
 
 
 def _windows(text: str, fixed: list[Span]) -> Iterator[tuple[int, int]]:
@@ -263,25 +321,39 @@ def _windows(text: str, fixed: list[Span]) -> Iterator[tuple[int, int]]:
 
 def added_spans(text: str, fixed: list[Span], weights: np.ndarray, sure: float) -> list[Span]:
     """Entities the field finds outside the fixed spans."""
-    found = []
+    found, covered = [], _union(fixed)
     for start, end in _windows(text, fixed):
         # a word cut by the window's edge is left out
         while 0 < start < end and text[start - 1].isalnum() and text[start].isalnum():
             start += 1
         while start < end < len(text) and text[end - 1].isalnum() and text[end].isalnum():
             end -= 1
-        w = window(text, start, end, fixed)
-        if not len(w.first):
-            continue
-        scores = scores_of(w, weights)
-        if scores.max() <= 0:
-            continue
-        best = _best(w, scores)
+        starts, ends = _tokens(text, start, end)
+        n = len(starts)
+
+        def scored(low: int, high: int) -> tuple[Window, np.ndarray]:
+            w = _segments(text, starts, ends, covered, low, high)
+            return w, scores_of(w, weights)
+
+        if n <= BLOCK:
+            whole = scored(0, n)
+            blocks = [(0, n)] if len(whole[1]) and whole[1].max() > 0 else []
+        else:
+            whole, blocks = None, [(low, min(n, low + BLOCK)) for low in range(0, n, BLOCK)]
+        path, ahead, behind = _Path(n), np.zeros(n + 1), np.zeros(n + 1)
+        for low, high in blocks:
+            w, scores = whole or scored(max(0, low - MAX_TOKENS), high)  # all segments that end in the block
+            path.go(w, scores, low, high)
+            if whole is None or path.top[-1] > 0:
+                _go_ahead(w, scores, ahead, low, high)
+        best = path.ends()
         if best:
-            ahead, behind = _passes(w, scores)
-            for i, kind in best:
-                if ahead[w.first[i]] + scores[i, kind] + behind[w.last[i]] - ahead[-1] >= np.log(sure):
-                    found.append((kind, int(w.starts[w.first[i]]), int(w.ends[w.last[i] - 1])))
+            for low, high in reversed(blocks):
+                _go_behind(*(whole or scored(low, high)), behind, low, high)
+            for j in best:
+                first = int(path.first[j])
+                if ahead[first] + path.score[j] + behind[j] - ahead[-1] >= np.log(sure):
+                    found.append((int(path.kind[j]), int(starts[first]), int(ends[j - 1])))
     return found
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -112,3 +113,27 @@ def test_redaction(documents, prose):
     rows = {r.doc_id: r for r in got.collect()}
     assert rows[1].text == "me [EMAIL] now" and rows[2].text is None and rows[3].text == prose(1, 50) and rows[1].q_text == "x"
     assert redacted(docs.where("false")).count() == 0 and personal_data(docs.where("false")).count() == 0
+
+
+def test_blocks_give_what_one_piece_gives(weights, monkeypatch):
+    r = random.Random(5)
+    bits = ["12", "4111 1111 1111 1111", "10.1.2.3", "at", "(at)", "dot", "+", "call", "a", "@", "-", "(619)", "555-0053", ".", "x@y.z", "the day was long and"]
+    for _ in range(40):
+        text = " ".join(r.choice(bits) for _ in range(r.randint(1, 150)))
+        fixed = base_spans(text) if r.random() < 0.5 else []
+        monkeypatch.setattr(pii, "BLOCK", 100_000)
+        whole = added_spans(text, fixed, weights, 0.5)
+        for block in (1, 7, 40):
+            monkeypatch.setattr(pii, "BLOCK", block)
+            assert added_spans(text, fixed, weights, 0.5) == whole
+
+
+def test_long_texts_of_digits_take_little_memory(weights):
+    text = "12 34 56 7,8 " * 4_000 + "call (619) 555-0053 now"
+    tracemalloc.start()
+    try:
+        found = added_spans(text, [], weights, 0.5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 150e6 and (3, text.index("(619)"), len(text) - 4) in found
