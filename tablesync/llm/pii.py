@@ -45,7 +45,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_SEED = re.compile(r"[0-9]+|@|[\[(]at[\])]|\bdot\b")
+_SEED = re.compile(r"[0-9]+|@|[\[({]\s*at\s*[\])}]|\bdot\b", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -154,11 +154,11 @@ def _segments(text: str, all_starts: np.ndarray, all_ends: np.ndarray, covered:
     marks = {k: np.array([w == k for w in words], bool) for k in "@.-+()"}
     said = {k: np.array([w == k for w in low], bool) for k in ("at", "dot")}
     spaced = np.append(starts[1:] > ends[:-1], False) if n else np.zeros(0, bool)  # a space after the token
-    joining = said["at"] | said["dot"] | np.array([w in "[]()" for w in words], bool)
+    joining = said["at"] | said["dot"] | np.array([w in "[](){}" for w in words], bool)
     loose = spaced & ~(joining | np.append(joining[1:], False)) if n else spaced  # a space between words of no address
     seed = (kinds == 1) | marks["@"] | said["dot"]
     for i in np.flatnonzero(said["at"]):
-        seed[i] |= 0 < i < n - 1 and words[i - 1] in "[(" and words[i + 1] in "])"
+        seed[i] |= 0 < i < n - 1 and words[i - 1] in "[({" and words[i + 1] in "])}"
     before_end = np.searchsorted(covered[0], ends)  # stretches that begin before the token's end
     taken = np.append(-1, covered[1])[before_end] > starts
 

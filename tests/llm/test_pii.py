@@ -137,3 +137,14 @@ def test_long_texts_of_digits_take_little_memory(weights):
     finally:
         tracemalloc.stop()
     assert peak < 150e6 and (3, text.index("(619)"), len(text) - 4) in found
+
+
+def test_written_out_addresses_in_any_case_and_brackets(weights):
+    for own in ("JOHN (AT) SITE DOT COM", "john [AT] site", "name ( at ) host com", "anna {at} site", "JOHN [ AT ] SITE DOT COM"):
+        text = f"the day was long and {own} of them"
+        opened = list(pii._windows(text, []))
+        assert opened and opened[0][0] <= text.index(own) and opened[0][1] >= text.index(own) + len(own), own
+        w = pii.window(text, 0, len(text), [])
+        assert any(text[w.starts[a] : w.ends[b - 1]] == own for a, b in zip(w.first, w.last)), own
+    one = added_spans("mail john (at) site dot com in the end", [], weights, 0.5)
+    assert one and added_spans("mail JOHN (AT) SITE DOT COM in the end", [], weights, 0.5) == one
