@@ -174,10 +174,10 @@ def in_progress_gate(spark, sf_dir):
 
 
 @query(
-    "stale_runs",
+    "run_log_stale",
     "select 'p' as pipeline, n_name as table_name, 'loading' as status from nation where n_nationkey % 2 = 0",
 )
-def stale_runs(spark, sf_dir):
+def run_log_stale(spark, sf_dir):
     """Runs left unfinished two days ago, and runs of today."""
     log = RunLog(spark, new_path(spark, "run-log"))
     now = datetime(2024, 3, 10, 12)

@@ -14,6 +14,8 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"a query is already named {name}")
         QUERIES[name] = function
         ORACLES[name] = sql
         return function

@@ -3,8 +3,6 @@ import uuid
 import pytest
 from pyspark.sql import SparkSession
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

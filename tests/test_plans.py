@@ -7,7 +7,7 @@ from tablesync.operators import key_violations, latest_per_key, merge_columns, u
 from tablesync.plans.runlog import latest_state
 from tablesync.queries import QUERIES
 from tablesync.targets import FileTarget, Layout, files
-from conftest import SMALL
+from places import SMALL
 
 
 def plan(df):
