@@ -13,6 +13,7 @@ from tablesync.llm.mil_classifier import quality_scores
 from tablesync.llm.packing import packed_documents
 from tablesync.llm.parity_join import Likeness, linked
 from tablesync.llm.pii import personal_data
+from tablesync.llm.prefix_trie import prefix_trie, rebuilt
 from tablesync.llm.quality_rules import quality_verdicts
 from tablesync.llm.run_length_index import without_repeats
 from tablesync.llm.toxicity import toxicity_scores
@@ -85,3 +86,8 @@ def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_run_length_index")
 def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op11_block_prefix_trie", sql.prefix_trie())
+def op11_block_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(table(spark, sf_dir, "conversations")))

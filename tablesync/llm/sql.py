@@ -124,3 +124,30 @@ reach as (select doc_id as a, doc_id as b from sizes union select r.a, l.b from
 select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(r.component_id, d.doc_id) as component_id
 from {docs} d left join sizes s using (doc_id)
 left join (select a as doc_id, min(b) as component_id from reach group by 1) r using (doc_id)"""
+
+
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten([[(ord(c) >> b) & 1 for b in range(8)] for c in string_split({text}, '')])),
+    lambda a, b: xor(a >> 1, (xor(a, b) & 1) * 3988292384)), 4294967295)"""
+
+
+def prefix_trie(conversations: str = "conversations") -> str:
+    return f"""
+with src as (select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos
+    from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from {conversations} where conv_id is not null)),
+ids as (select conv_id, conv_id - conv_id % 5 as donor, {_CRC.format(text="cast(conv_id as varchar)")} % 9 as h from (select distinct conv_id from src)),
+rebuilt as (select i.conv_id, s.pos, s.role, s.text from ids i join src s on s.conv_id = i.donor and s.pos <= i.h
+    union all select i.conv_id, s.pos, s.role, s.text from ids i join src s on s.conv_id = i.conv_id and s.pos > i.h),
+steps as (select conv_id, row_number() over w as depth, list(row(role, text)) over w as path, strlen(text) as bytes
+    from rebuilt window w as (partition by conv_id order by pos rows between unbounded preceding and current row)),
+nodes as (select depth, path, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes from steps group by depth, path
+    union all select 0, [row('', '')][1:0], min(conv_id), count(*), 0 from ids having count(*) > 0),
+kids as (select path[1:depth - 1] as path, count(*) as n from nodes where depth > 0 group by 1),
+facts as (select a.*, coalesce(k.n, 0) as n_children, (n_convs - 1) * bytes as saved from nodes a left join kids k using (path)),
+sums as (select path[1:d] as path, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+    from (select *, unnest(range(0, depth + 1)) as d from facts) group by 1),
+lasts as (select i.conv_id, coalesce(l.path, [row('', '')][1:0]) as path from ids i left join (
+    select conv_id, arg_max(path, depth) as path from steps group by 1) l using (conv_id)),
+ends as (select path, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends_sha256 from lasts group by 1)
+select f.conv_id, f.depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens::bigint as saved_tokens,
+    coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from facts f join sums s using (path) left join ends e using (path) left join nodes p on f.depth > 0 and p.path = f.path[1:f.depth - 1]"""
