@@ -17,6 +17,7 @@ from tablesync.llm.prefix_trie import prefix_trie, rebuilt
 from tablesync.llm.quality_rules import quality_verdicts
 from tablesync.llm.run_length_index import without_repeats
 from tablesync.llm.toxicity import toxicity_scores
+from tablesync.llm.turn_alignment import damaged, repair_digests
 from tablesync.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,8 @@ def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_block_prefix_trie", sql.prefix_trie())
 def op11_block_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_turn_alignment")
+def op12_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(damaged(table(spark, sf_dir, "conversations")))
