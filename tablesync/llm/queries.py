@@ -15,6 +15,7 @@ from tablesync.llm.parity_join import Likeness, linked
 from tablesync.llm.pii import personal_data
 from tablesync.llm.prefix_trie import prefix_trie, rebuilt
 from tablesync.llm.quality_rules import quality_verdicts
+from tablesync.llm.rare_digest import compared
 from tablesync.llm.run_length_index import without_repeats
 from tablesync.llm.toxicity import toxicity_scores
 from tablesync.llm.turn_alignment import damaged, repair_digests
@@ -97,3 +98,8 @@ def op11_block_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_turn_alignment")
 def op12_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_rare_digest")
+def op13_rare_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(table(spark, sf_dir, "documents"))
