@@ -77,7 +77,7 @@ class Settings:
     kinds: tuple[Kind, ...] = (Kind(32, 32, 4, 300, low=128), Kind(8, 8, 2, 300, high=512))
     per_filter: int = 160
     together: int = 1 << 18
-    part_bytes: int = 64 << 20
+    part_bytes: int = 16 << 20
     parts_at_most: int = 20_000  # parts grow beyond this, as streams
 
 
@@ -370,7 +370,8 @@ def compared(docs: DataFrame, settings: Settings = Settings(), id_col: str = "do
             ], schema=arrow)
 
     arrow = pa.schema([(c.split()[0], {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[c.split()[1]]) for c in schema.split(", ")])
-    placed = both.repartition(n, "part").sortWithinPartitions("part", "ghost", F.col("id").desc_nulls_last(), "tie", "text")
+    tasks = order[-1][0] + 1 if order else 1
+    placed = both.repartitionById(tasks, F.col("part").cast("int")).sortWithinPartitions("part", "ghost", F.col("id").desc_nulls_last(), "tie", "text")
     return placed.select("part", "ghost", "id", "text").mapInArrow(run, schema)
 
 
