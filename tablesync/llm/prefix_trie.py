@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import parts_for, written
+from tablesync.llm.common import parts_for, with_facts, written
 
 _NODE = ["depth", "p1", "p2"]
 _PREFIX = ["k", "b1", "b2"]
@@ -152,15 +152,6 @@ def _distinct_blocks(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return distinct, written(groups, "trie-groups")
 
 
-def with_facts(rows: DataFrame, facts: DataFrame, key: list[str], count: str, total: int) -> DataFrame:
-    """``rows`` joined with the one fact of their key. ``count`` bounds a key's rows, and the counts of all
-    keys sum to at most ``total``: so at most 1,000 keys exceed a thousandth, and those are broadcast."""
-    hot = F.broadcast(facts.where(F.col(count) > max(total // 1000, 1000)))
-    cold = facts.where(F.col(count) <= max(total // 1000, 1000))
-    rest = rows.join(hot.select(*key), key, "left_anti")
-    return rows.join(hot, key).unionByName(rest.join(cold, key))
-
-
 def _opened(distinct: DataFrame) -> DataFrame:
     """The turns of distinct blocks as nodes. ``up`` are the nodes of the block down to this one."""
     so_far = "aggregate(slice(turns, 1, i + 1), {b}, (a, u) -> a ^ u.{d})"

@@ -4,25 +4,31 @@ A byte goes if a string of ``length`` bytes over it also starts anywhere else, i
 
 Equal strings are brought together by minimizers: of the grams (64 bytes, at the usual length) in
 every window of ``length`` bytes the one of least hash is the window's anchor, so equal windows have
-equal anchors at equal places, and other text seldom has the same. The windows of one anchor are one region of a document. Regions are counted by content
-first: one that occurs twice is all repeat. Only anchors that still have several distinct regions
-are indexed, each region once however often it occurs.
-
-A bucket of such regions becomes one text. Its suffixes are sorted to the depth of a region, and the
-Burrows-Wheeler transform is cut into runs. Only run heads are sampled: for a suffix at a run head
-the longest match with its neighbour in the order is measured; between heads, in text order, the
-match just shrinks by one byte a step, so it adds no new stretch. Streaming the heads therefore
-gives every stretch whose windows occur twice, and its partner. The cost is that of the runs, which
-are few in repetitive text.
-
-Whole copies are one document to all of this. An anchor with more than ``hot_regions`` distinct
-regions is not one task's work: its windows are compared by their hashes instead, with sums.
+equal anchors at equal places, and other text seldom has the same. The windows of one anchor are one
+region of a document. Regions are counted by content first: one that occurs twice is all repeat. Only
+anchors that still have several distinct regions are indexed, each region once however often it occurs.
+
+Regions are indexed in shards of about ``shard_bytes``. An anchor whose distinct regions hold more is
+refined: its windows are dealt to two intervals by how far before the anchor they start, and keyed by
+the bytes that all windows of the interval contain, which equal windows share; pieces are counted by
+content again, and so on, until every key's pieces fit a shard or are the same. An interval of one
+window has equal pieces only, so this ends after as many rounds as the length has binary digits.
+
+The index of a shard is the run-compressed Burrows-Wheeler transform of its regions: of each run the
+symbol, the first row, where the run's first row goes by one step back, and the text places of its
+first and last rows. The sorted order itself is thrown away. Every region is then streamed over the
+runs, backwards from its end, with its matching statistics against all other places: the longest match
+above and below its row. While its row lies within a run a match grows by the byte read; at a run's
+edge the neighbour is the end of the nearest run of the same symbol, whose sample says where to measure
+again. Places with a match of ``length`` or more are marked. All regions of a shard step together.
+
+Whole copies are one document to all of this.
 
 Defined results: a null text is empty; documents shorter than ``length`` bytes lose nothing and
 repeat nothing; overlaps count, also within a document; rows of equal texts are copies of each other
 whatever their ids, and ids may be null or name several texts, as rows are told apart by content;
 an empty table gives no rows; other columns are left out. Contents, regions and windows are compared
-by 128 bits of hash.
+by 128 bits of hash. A shard takes some 60 bytes of memory a byte; places and rows have 32 bits.
 """
 
 from __future__ import annotations
@@ -37,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import parts_for, written
+from tablesync.llm.common import parts_for, with_facts, written
 
 GRAM = 16
 #: Rows of a counted table (regions or stretches, some 50 bytes each) up to which it is broadcast and
@@ -53,9 +59,9 @@ def gram_of(length: int) -> int:
     return GRAM * max(1, min(4, length // 100))
 
 
-def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hashes, and first and last window of each region."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hashes, first and last window of each region, and where the anchors stand."""
+    found: list[tuple[np.ndarray, ...]] = []
     windows, gram = len(raw) - length + 1, gram_of(length)
     for at in range(0, max(windows, 0), _POSITIONS):
         n = min(_POSITIONS, windows - at)
@@ -80,9 +86,10 @@ def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
         least = np.minimum(behind[:n], ahead[wide - 1 : wide - 1 + n])
         first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
         last = np.append(first[1:], n) - 1
-        found.append((grams[(least[first] & _LOW).astype(np.int64)], at + first, at + last))
+        place = (least[first] & _LOW).astype(np.int64)
+        found.append((grams[place], at + first, at + last, at + place))
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -104,7 +111,7 @@ def _documents(docs: DataFrame, length: int, id_col: str, text_col: str) -> Data
                     row = [len(raw), sha.hexdigest(), *content, None, None, None, None]
                     if content not in seen:
                         seen.add(content)
-                        ah, first, last = anchors(raw, length)
+                        ah, first, last, _ = anchors(raw, length)
                         ends = last + length
                         rd = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)], np.uint64)
                         row[4:] = ah.view(np.int64), rd.view(np.int64), first, (ends - first).astype(np.int32)
@@ -118,68 +125,124 @@ def _documents(docs: DataFrame, length: int, id_col: str, text_col: str) -> Data
     return written(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(measure, schema), "repeat-regions")
 
 
-def suffix_ranks(symbols: np.ndarray, room: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
-    """Ranks of the substrings of 7, 14, ... symbols from every place, cut where ``room`` (symbols to the end) is less."""
-    n = len(symbols)
+def suffix_order(text: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
+    """Places in the order of what stands there up to the region's end (``room`` bytes), by doubling;
+    equal ones in the order of their places."""
+    n = len(text)
     key = np.zeros(n, np.int64)
     for i in range(7):
-        shifted = np.zeros(n, np.int64)
-        shifted[: n - i] = symbols[i:]
-        key = (key << 9) | np.where(room > i, shifted, 0)
-    levels, width = [], 7
+        key <<= 9
+        key[: n - i] += np.where(room[: n - i] > i, text[i:].astype(np.int64) + 1, 0)
+    width = 7
     while True:
-        _, rank = np.unique(key, return_inverse=True)
-        levels.append((width, rank))
-        if width >= depth:
-            return levels
-        after = np.zeros(n, np.int64)
-        after[: n - width] = rank[width:] + 1
-        key = rank * (n + 1) + np.where(room > width, after, 0)
+        order = np.argsort(key, kind="stable").astype(np.int32)
+        new = np.append(False, key[order[1:]] != key[order[:-1]])
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new)
+        if width >= depth or rank[order[-1]] == n - 1:
+            return order
+        key = rank * (n + 1)
+        key[: n - width] += np.where(room[: n - width] > width, rank[width:] + 1, 0)
         width *= 2
 
 
-def common(a: np.ndarray, b: np.ndarray, symbols: np.ndarray, room: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
-    """Length of the longest common prefix of the suffixes at a and at b, less than twice the widest level."""
-    total = np.zeros(len(a), np.int64)
-    widest = np.minimum(room[a], room[b])
-    for width, rank in reversed(levels):  # each level at most once
-        own = np.flatnonzero(widest - total >= width)
-        own = own[rank[a[own] + total[own]] == rank[b[own] + total[own]]]
-        total[own] += width
-    for _ in range(6):
-        own = np.flatnonzero(widest > total)
-        own = own[symbols[a[own] + total[own]] == symbols[b[own] + total[own]]]
-        total[own] += 1
-    return total
+class RunLengthIndex:
+    """The run-compressed transform of some regions, with samples at run ends."""
+
+    def __init__(self, regions: list[bytes]):
+        sizes = np.array([len(r) for r in regions], np.int64)
+        self.text = np.frombuffer(b"".join(regions), np.uint8)
+        self.ends = np.cumsum(sizes).astype(np.int32)
+        self.starts = (self.ends - sizes).astype(np.int32)
+        n, many = len(self.text), len(regions)
+        self.room = np.repeat(self.ends, sizes) - np.arange(n, dtype=np.int32)
+        order = suffix_order(self.text, self.room, int(sizes.max()))
+        place = np.concatenate([self.ends, order])  # the first rows are the empty suffixes of the regions
+        begins = np.zeros(n + 1, bool)
+        begins[self.starts] = True
+        first = np.append(np.zeros(many, bool), begins[order])
+        symbol = self.text[np.maximum(place - 1, 0)].astype(np.int16)
+        symbol[first] = -1  # what stands before a region's first byte: a run of its own
+        head = np.append(True, (symbol[1:] != symbol[:-1]) | first[1:])
+        at = np.flatnonzero(head)
+        self.row = at.astype(np.int32)
+        self.size = np.diff(np.append(at, n + many)).astype(np.int32)
+        self.symbol = symbol[at]
+        self.first_place, self.last_place = place[at], place[at + self.size - 1]
+        # one step back: rows are ordered by symbol, then by the run they come from
+        by_symbol = np.argsort(self.symbol, kind="stable")
+        counted = np.cumsum(self.size[by_symbol]) - self.size[by_symbol]
+        starts_of_regions = int((self.symbol == -1).sum())
+        self.back = np.empty(len(at), np.int32)
+        self.back[by_symbol] = counted - starts_of_regions + many
+        same = self.symbol[by_symbol][1:] == self.symbol[by_symbol][:-1]
+        self.above, self.below = np.full(len(at), -1, np.int32), np.full(len(at), -1, np.int32)
+        self.above[by_symbol[1:][same]] = by_symbol[:-1][same]
+        self.below[by_symbol[:-1][same]] = by_symbol[1:][same]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bytes that the places a and b have in common before a region ends."""
+        most = np.minimum(self.room[a], self.room[b])
+        total = np.zeros(len(a), np.int32)
+        going, step = np.arange(len(a)), 8
+        offsets = np.arange(64, dtype=np.int32)
+        last = len(self.text) - 1
+        while len(going):
+            x, y = (a[going] + total[going])[:, None] + offsets[:step], (b[going] + total[going])[:, None] + offsets[:step]
+            same = self.text[np.minimum(x, last)] == self.text[np.minimum(y, last)]
+            run = np.where(same.all(axis=1), step, same.argmin(axis=1))
+            total[going] = np.minimum(total[going] + run, most[going])
+            going = going[(run == step) & (total[going] < most[going])]
+            step = 64
+        return total
+
+    def stream(self, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(regions, from, to) of the bytes under matches of ``length`` or more with another place."""
+        many = len(self.ends)
+        lane = np.arange(many)  # each region is a lane; those read to their first byte leave
+        row, place = np.arange(many, dtype=np.int32), self.ends.copy()
+        up, down = np.zeros(many, np.int32), np.zeros(many, np.int32)  # lengths of the matches above and below
+        up_at, down_at = np.zeros(many, np.int32), np.zeros(many, np.int32)
+        low, high = np.full(many, -1, np.int32), np.full(many, -1, np.int32)  # the marked stretch that is still growing
+        while len(lane):
+            run = np.searchsorted(self.row, row, "right") - 1
+            inside_up, inside_down = row > self.row[run], row < self.row[run] + self.size[run] - 1
+            row = self.back[run] + (row - self.row[run])
+            place = place - 1
+            up, up_at = self._step(up, up_at, inside_up, self.above[run], self.last_place, place)
+            down, down_at = self._step(down, down_at, inside_down, self.below[run], self.first_place, place)
+            match = np.maximum(up, down)
+            found = match >= length
+            end = place + match
+            apart = found & (low >= 0) & (end < low)
+            if apart.any():
+                yield lane[apart], low[apart] - self.starts[lane[apart]], high[apart] - self.starts[lane[apart]]
+            high = np.where(found, np.where(apart | (low < 0), end, np.maximum(high, end)), high)
+            low = np.where(found, place, low)
+            done = place == self.starts[lane]
+            if done.any():
+                last = done & (low >= 0)
+                yield lane[last], low[last] - self.starts[lane[last]], high[last] - self.starts[lane[last]]
+                lane, row, place, up, up_at, down, down_at, low, high = (
+                    x[~done] for x in (lane, row, place, up, up_at, down, down_at, low, high))
+
+    def _step(self, match, at, inside, near, sample, place):
+        """Inside a run the neighbour is preceded by the same byte; at its edge it is the end of the nearest such run."""
+        match, at = np.where(inside, match + 1, 0), at - 1
+        jump = ~inside & (near >= 0)
+        at[jump] = sample[near[jump]] - 1
+        match[jump] = self.common(place[jump], at[jump])
+        return match, at
 
 
 def repeats(regions: list[bytes], length: int) -> list[tuple[int, int, int]]:
     """Stretches (region, from, to) of the regions whose windows of ``length`` occur twice or more among them."""
-    sizes = np.array([len(r) for r in regions], np.int64)
-    ends = np.cumsum(sizes)
-    raw = np.frombuffer(b"".join(regions), np.uint8)
-    n = len(raw)
-    if n == 0:
+    regions_at = [i for i, r in enumerate(regions) if r]
+    if not regions_at:
         return []
-    symbols = raw.astype(np.int64) + 1
-    room = np.repeat(ends, sizes) - np.arange(n)
-    levels = suffix_ranks(symbols, room, int(sizes.max()))  # whole suffixes: neighbours stay neighbours one byte to the left
-    order = np.argsort(levels[-1][1], kind="stable")
-    begins = room == np.repeat(sizes, sizes)
-    before = np.where(begins, -1 - np.arange(n), np.append(0, symbols[:-1]))  # the transform; region starts end runs
-    bwt = before[order]
-    heads = np.flatnonzero(bwt[1:] != bwt[:-1]) + 1
-    at, partner = order[heads], order[heads - 1]
-    _, rank = max((level for level in levels if level[0] <= length), key=lambda level: level[0], default=levels[0])
-    likely = (np.minimum(room[at], room[partner]) >= length) & (rank[at] == rank[partner])
-    at, partner = at[likely], partner[likely]
-    match = common(at, partner, symbols, room, levels)
-    good = match >= length
-    starts = ends - sizes
     found = []
-    for place, m in zip(np.concatenate([at[good], partner[good]]).tolist(), np.concatenate([match[good]] * 2).tolist(), strict=True):
-        region = int(np.searchsorted(ends, place, side="right"))
-        found.append((region, place - int(starts[region]), place - int(starts[region]) + m))
+    for lane, low, high in RunLengthIndex([regions[i] for i in regions_at]).stream(length):
+        found += zip([regions_at[i] for i in lane.tolist()], low.tolist(), high.tolist(), strict=True)
     return found
 
 
@@ -200,10 +263,10 @@ def _sent(side: DataFrame, rows: int) -> DataFrame:
 
 
 def _bytes_of(docs: DataFrame, wanted: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(ah, rd, bytes) of the regions ``wanted`` (c1, c2, id, ah, rd, start, size), cut out of their documents.
+    """(ah, rd, hot, bytes) of the regions ``wanted`` (c1, c2, id, ah, rd, start, size, hot), cut out of their documents.
 
     Rows that repeat both id and text give their regions once in each task."""
-    lists = wanted.groupBy("c1", "c2", F.col("id").alias("own")).agg(F.collect_list(F.struct("ah", "rd", "start", "size")).alias("cuts"))
+    lists = wanted.groupBy("c1", "c2", F.col("id").alias("own")).agg(F.collect_list(F.struct("ah", "rd", "start", "size", "hot")).alias("cuts"))
     texts, lists = _texts(docs, id_col, text_col).alias("t"), _sent(lists, rows).alias("l")
     same = (F.col("t.c1") == F.col("l.c1")) & (F.col("t.c2") == F.col("l.c2")) & F.col("id").eqNullSafe(F.col("own"))
     joined = texts.join(lists, same).select("t.c1", "t.c2", "text", "cuts")
@@ -212,7 +275,7 @@ def _bytes_of(docs: DataFrame, wanted: DataFrame, rows: int, id_col: str, text_c
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
-                ah, rd, own = [], [], []
+                ah, rd, hot, own = [], [], [], []
                 for c1, c2, text, cuts in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns), strict=True):
                     if (c1, c2) in seen:
                         continue
@@ -221,60 +284,116 @@ def _bytes_of(docs: DataFrame, wanted: DataFrame, rows: int, id_col: str, text_c
                     for c in cuts:
                         ah.append(c["ah"])
                         rd.append(c["rd"])
+                        hot.append(c["hot"])
                         own.append(raw[c["start"] : c["start"] + c["size"]])
-                yield pa.RecordBatch.from_arrays([pa.array(ah, pa.int64()), pa.array(rd, pa.int64()), pa.array(own, pa.binary())], names=["ah", "rd", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(ah, pa.int64()), pa.array(rd, pa.int64()), pa.array(hot, pa.bool_()), pa.array(own, pa.binary())], names=["ah", "rd", "hot", "bytes"])
+
+    return joined.mapInArrow(cut, "ah long, rd long, hot boolean, bytes binary")
+
+
+_PIECE = "key long, lo int, hi int, at int, ah long, rd long, off int, pd long, bytes binary"
+
+
+def _halved(pieces: DataFrame, length: int) -> DataFrame:
+    """Pieces dealt to the halves of their interval. A window is told by how many bytes before the anchor it starts."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, lo, hi, at, ah, rd, off, _, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at is None:  # a whole region, as it comes
+                    at = anchors(raw, length)[3][0]
+                middle = (lo + hi + 1) // 2
+                for first, last in ((lo, middle - 1), (middle, hi)):
+                    near, far = max(first, at - (len(raw) - length)), min(last, at)
+                    if near > far:
+                        continue
+                    piece, core = raw[at - far : at - near + length], raw[at - first : at - last + length]
+                    own = xxhash.xxh3_64_intdigest(core, (key + first) % 2**64)
+                    rows.append((own, first, last, far, ah, rd, off + at - far, xxhash.xxh3_64_intdigest(piece), piece))
+            columns = list(zip(*rows, strict=True)) or [()] * 9
+            for i in (0, 7):
+                columns[i] = np.array(columns[i], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECE_TYPE, strict=True)], schema=_PIECE_TYPE)
+
+    return pieces.select(*_PIECE_TYPE.names).mapInArrow(split, _PIECE)
+
+
+_PIECE_TYPE = pa.schema([(f.split()[0], {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[f.split()[1]]) for f in _PIECE.split(", ")])
 
-    return joined.mapInArrow(cut, "ah long, rd long, bytes binary")
 
+def _dealt(kinds: DataFrame, key: str, size: str, shard_bytes: int) -> tuple[DataFrame, DataFrame, int]:
+    """(rows whose key has several of them and fits a shard, rows whose key does not fit, how many such keys).
 
-def _by_window(regions: DataFrame, length: int) -> DataFrame:
-    """Stretches of regions under hot anchors, by counting the hashes of their windows."""
-    at = F.explode(F.sequence(F.lit(1), F.octet_length("bytes") - length + 1))
-    windows = regions.select("ah", "rd", "bytes", at.alias("at"))
-    window = F.substring("bytes", F.col("at"), F.lit(length))
-    windows = windows.select("ah", "rd", "at", F.xxhash64(window).alias("h1"), F.xxhash64(F.lit(1), window).alias("h2"))
-    twice = windows.groupBy("ah", "h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    found = windows.join(twice, ["ah", "h1", "h2"])
-    return found.select("ah", "rd", (F.col("at") - 1).alias("from"), (F.col("at") - 1 + length).alias("to"))
+    Keys that do not fit are counted, and at most one to ``shard_bytes``."""
+    totals = kinds.groupBy(key).agg(F.count("*").alias("kinds"), F.sum(size).alias("key_bytes")).where("kinds > 1")
+    totals = written(totals, "region-keys", large=True)
+    hot = totals.where(F.col("key_bytes") > shard_bytes).select(key)
+    n = hot.count()
+    hot = F.broadcast(hot) if n <= BROADCAST_ROWS else hot.hint("shuffle_hash")
+    cool = totals.where(F.col("key_bytes") <= shard_bytes).select(key)
+    return kinds.join(hot, key, "left_anti").join(cool, key, "left_semi"), kinds.join(hot, key, "left_semi"), n
 
 
-def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: int, hot_regions: int, id_col: str, text_col: str) -> DataFrame:
+def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: int, shard_bytes: int, id_col: str, text_col: str) -> DataFrame:
     """(ah, rd, from, to): the repeated stretches of each distinct region."""
     kinds = written(
         places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("c1", "c2", "id", "start", "size")).alias("one")), "region-kinds", large=True)
-    whole = kinds.where("n > 1").select("ah", "rd", F.lit(0).alias("from"), F.col("one.size").alias("to"))
-    several = kinds.groupBy("ah").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = kinds.join(several, "ah").select("one.c1", "one.c2", "one.id", "ah", "rd", "one.start", "one.size", (F.col("kinds") > hot_regions).alias("hot"))
-    wanted = written(wanted, "regions-wanted", large=True)
-    rows, total, n_hot = wanted.agg(F.count("*"), F.sum("size"), F.sum(F.col("hot").cast("int"))).first()
-    texts = written(_bytes_of(docs, wanted.drop("hot"), rows, id_col, text_col), "region-bytes", large=True)
-    cool = texts
-    parts = [whole]
-    if n_hot:
-        hot = several.where(F.col("kinds") > hot_regions).select("ah")
-        parts.append(_by_window(texts.join(hot, "ah"), length))
-        cool = texts.join(hot, "ah", "left_anti")
+    marks = [kinds.where("n > 1").select("ah", "rd", F.lit(0).alias("from"), F.col("one.size").alias("to"))]
+    cool, hot, n_hot = _dealt(kinds, "ah", "one.size", shard_bytes)
+    columns = ["one.c1", "one.c2", "one.id", "ah", "rd", "one.start", "one.size"]
+    pieces = []
+    wanted = written(cool.select(*columns, F.lit(False).alias("hot")).unionByName(hot.select(*columns, F.lit(True).alias("hot"))), "regions-wanted", large=True)
+    rows, total = wanted.agg(F.count("*"), F.sum("size")).first()
+    texts = written(_bytes_of(docs, wanted, rows, id_col, text_col), "region-bytes", large=True)
+    pieces.append(texts.where("not hot").select(F.col("ah").alias("key"), "ah", "rd", F.lit(0).alias("off"), "bytes"))
+    none = lambda kind: F.lit(None).cast(kind)
+    hot = texts.where("hot").dropDuplicates(["ah", "rd"]).select(
+        F.col("ah").alias("key"), F.lit(0).alias("lo"), F.lit(length - gram_of(length)).alias("hi"), none("int").alias("at"),
+        "ah", "rd", F.lit(0).alias("off"), none("long").alias("pd"), "bytes")
+    while n_hot:
+        halves = written(_halved(hot, length), "region-halves")
+        same = halves.groupBy("key", "pd").agg(
+            F.count("*").alias("n"), *[F.any_value(c).alias(c) for c in ("lo", "hi", "at", "bytes")],
+            F.min(F.struct("ah", "rd", "off")).alias("one"))
+        same = same.select("key", "lo", "hi", "at", "one.ah", "one.rd", "one.off", "pd", "bytes", "n", F.octet_length("bytes").alias("size"))
+        same = written(same, "region-pieces", large=True)
+        again = same.where("n > 1").select("key", "pd")
+        of_these = halves.join(_sent(again, again.count()), ["key", "pd"], "left_semi")
+        marks.append(of_these.select("ah", "rd", F.col("off").alias("from"), (F.col("off") + F.octet_length("bytes")).alias("to")))
+        cool, hot, n_hot = _dealt(same, "key", "size", shard_bytes)
+        pieces.append(cool.select("key", "ah", "rd", "off", "bytes"))
 
     def index(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["ah", "rd"]).sort_values(["ah", "rd"]).reset_index(drop=True)
-        found = repeats(frame["bytes"].tolist(), length)
-        rows = [x[0] for x in found]
+        frame = frame.drop_duplicates(["key", "ah", "rd", "off"]).sort_values(["key", "ah", "rd", "off"]).reset_index(drop=True)
+        size = frame["bytes"].str.len().to_numpy(np.int64)
+        key = frame["key"].to_numpy()
+        found, start = [], 0
+        shard = np.cumsum(size) // shard_bytes
+        cuts = np.flatnonzero((key[1:] != key[:-1]) & (shard[1:] != shard[:-1])) + 1  # a key is never cut
+        for stop in [*cuts.tolist(), len(frame)]:
+            found += [(start + i, a, b) for i, a, b in repeats(frame["bytes"].iloc[start:stop].tolist(), length)]
+            start = stop
+        at = [x[0] for x in found]
+        off = frame["off"].to_numpy(np.int64)[at]
         return pd.DataFrame({
-            "ah": frame["ah"].to_numpy()[rows], "rd": frame["rd"].to_numpy()[rows],
-            "from": [x[1] for x in found], "to": [x[2] for x in found]}).astype("int64")
+            "ah": frame["ah"].to_numpy()[at], "rd": frame["rd"].to_numpy()[at],
+            "from": off + [x[1] for x in found], "to": off + [x[2] for x in found]}).astype("int64")
 
+    whole = pieces[0]
+    for more in pieces[1:]:
+        whole = whole.unionByName(more)
     buckets = parts_for(int(total or 0), bucket_bytes)
-    keyed = cool.withColumn("bucket", F.pmod(F.xxhash64("ah"), F.lit(buckets)))
-    parts.append(keyed.groupBy("bucket").applyInPandas(index, "ah long, rd long, from int, to int"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    keyed = whole.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    found = keyed.groupBy("bucket").applyInPandas(index, "ah long, rd long, from int, to int")
+    for more in marks:
+        found = found.unionByName(more)
     return found
 
 
 def without_repeats(
     docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 20,
-    hot_regions: int = 20_000,
+    shard_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (null: the whole text, unchanged)."""
     if length <= GRAM:
@@ -283,7 +402,7 @@ def without_repeats(
     copies = written(every.groupBy("c1", "c2").agg(F.count("*").alias("copies")), "content-classes")
     # Copies first met in several tasks count as several; their regions are then whole repeats, as all of a copy is.
     places = _regions(every)
-    marks = written(_stretches(docs, places, length, bucket_bytes, hot_regions, id_col, text_col), "stretches", large=True)
+    marks = written(_stretches(docs, places, length, bucket_bytes, shard_bytes, id_col, text_col), "stretches", large=True)
     marks_by_region = marks.distinct()
     if marks.count() <= BROADCAST_ROWS:
         marks_by_region = F.broadcast(marks_by_region)
@@ -316,7 +435,9 @@ def without_repeats(
                     names=["c1", "c2", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     cut = joined.mapInArrow(remove, "c1 long, c2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    rows = every.select("id", "n_bytes", "sha", "c1", "c2").join(copies, ["c1", "c2"]).join(cut, ["c1", "c2"], "left")
+    # what is known of a content; one that very many rows have is a whole copy, or short, and holds no text here
+    facts = written(copies.join(cut, ["c1", "c2"], "left"), "content-results", large=True)
+    rows = with_facts(every.select("id", "n_bytes", "sha", "c1", "c2"), facts, ["c1", "c2"], "copies", facts.agg(F.sum("copies")).first()[0] or 0)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     return rows.select(
         F.col("id").alias(id_col), "n_bytes",
