@@ -70,4 +70,4 @@ def with_facts(rows: DataFrame, facts: DataFrame, key: list[str], count: str, to
     hot = F.broadcast(facts.where(F.col(count) > max(total // 1000, 1000)))
     cold = facts.where(F.col(count) <= max(total // 1000, 1000))
     rest = rows.join(hot.select(*key), key, "left_anti")
-    return rows.join(hot, key).unionByName(rest.join(cold, key))
+    return rows.join(hot, key).unionByName(rest.join(cold.hint("shuffle_hash"), key))

@@ -87,7 +87,7 @@ def op6_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_run_length_index")
 def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return without_repeats(table(spark, sf_dir, "documents"), texts=False)
 
 
 @query("op11_block_prefix_trie", sql.prefix_trie())

@@ -48,7 +48,7 @@ from tablesync.llm.common import parts_for, with_facts, written
 GRAM = 16
 #: Rows of a counted table (regions or stretches, some 50 bytes each) up to which it is broadcast and
 #: texts stay where they are; beyond, they are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 20_000
 _ODD = np.random.default_rng(77).integers(1, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POSITIONS = 1 << 22  # windows handled at once; places in them fit the low 24 bits of a key
 _LOW = np.uint64((1 << 24) - 1)
@@ -133,17 +133,26 @@ def suffix_order(text: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
     for i in range(7):
         key <<= 9
         key[: n - i] += np.where(room[: n - i] > i, text[i:].astype(np.int64) + 1, 0)
-    width = 7
-    while True:
-        order = np.argsort(key, kind="stable").astype(np.int32)
-        new = np.append(False, key[order[1:]] != key[order[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if width >= depth or rank[order[-1]] == n - 1:
-            return order
-        key = rank * (n + 1)
-        key[: n - width] += np.where(room[: n - width] > width, rank[width:] + 1, 0)
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    sorted_ = key[order]
+    group = np.maximum.accumulate(np.where(np.append(True, sorted_[1:] != sorted_[:-1]), np.arange(n), 0))  # each row's first equal
+    rank, width = np.empty(n, np.int64), 7
+    rank[order] = group
+    while width < depth:
+        alone = np.append(group[1:] == np.arange(1, n), True) & (group == np.arange(n))
+        rows = np.flatnonzero(~alone)
+        if not len(rows):
+            break
+        own = order[rows]
+        after = np.where(room[own] > width, rank[np.minimum(own + width, n - 1)] + 1, 0)
+        key = group[rows] * (n + 1) + after
+        by = np.argsort(key, kind="stable")
+        key, own = key[by], own[by]
+        order[rows] = own
+        group[rows] = np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), rows, 0))
+        rank[own] = group[rows]
         width *= 2
+    return order
 
 
 class RunLengthIndex:
@@ -251,6 +260,12 @@ def _regions(every: DataFrame) -> DataFrame:
     return every.where("size(ah) > 0").select("c1", "c2", "id", zipped).select("c1", "c2", "id", "r.ah", "r.rd", "r.start", "r.size")
 
 
+def _repeated(places: DataFrame, total: int) -> DataFrame:
+    """The regions whose anchor occurs twice or more: others repeat nothing."""
+    seen = written(places.groupBy("ah").agg(F.count("*").alias("times")).where("times > 1"), "region-anchors", large=True)
+    return written(with_facts(places, seen, ["ah"], "times", total).drop("times"), "region-places", large=True)
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, text and the two hashes of its content, as in ``_documents``."""
     sha = F.sha2(F.col(text_col).cast("binary"), 256)
@@ -263,23 +278,23 @@ def _sent(side: DataFrame, rows: int) -> DataFrame:
 
 
 def _bytes_of(docs: DataFrame, wanted: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(ah, rd, hot, bytes) of the regions ``wanted`` (c1, c2, id, ah, rd, start, size, hot), cut out of their documents.
+    """(ah, rd, hot, bytes) of the regions ``wanted`` (c1, id, ah, rd, start, size, hot), cut out of their documents.
 
     Rows that repeat both id and text give their regions once in each task."""
-    lists = wanted.groupBy("c1", "c2", F.col("id").alias("own")).agg(F.collect_list(F.struct("ah", "rd", "start", "size", "hot")).alias("cuts"))
+    lists = wanted.groupBy("c1", F.col("id").alias("own")).agg(F.collect_list(F.struct("ah", "rd", "start", "size", "hot")).alias("cuts"))
     texts, lists = _texts(docs, id_col, text_col).alias("t"), _sent(lists, rows).alias("l")
-    same = (F.col("t.c1") == F.col("l.c1")) & (F.col("t.c2") == F.col("l.c2")) & F.col("id").eqNullSafe(F.col("own"))
-    joined = texts.join(lists, same).select("t.c1", "t.c2", "text", "cuts")
+    same = (F.col("t.c1") == F.col("l.c1")) & F.col("id").eqNullSafe(F.col("own"))
+    joined = texts.join(lists, same).select("t.c1", "id", "text", "cuts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int | None]] = set()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 ah, rd, hot, own = [], [], [], []
-                for c1, c2, text, cuts in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns), strict=True):
-                    if (c1, c2) in seen:
+                for c1, own_id, text, cuts in zip(*(c.to_pylist() for c in batch.slice(begin, 256).columns), strict=True):
+                    if (c1, own_id) in seen:
                         continue
-                    seen.add((c1, c2))
+                    seen.add((c1, own_id))
                     raw = text.encode("utf-8", "replace")
                     for c in cuts:
                         ah.append(c["ah"])
@@ -338,10 +353,10 @@ def _dealt(kinds: DataFrame, key: str, size: str, shard_bytes: int) -> tuple[Dat
 def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: int, shard_bytes: int, id_col: str, text_col: str) -> DataFrame:
     """(ah, rd, from, to): the repeated stretches of each distinct region."""
     kinds = written(
-        places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("c1", "c2", "id", "start", "size")).alias("one")), "region-kinds", large=True)
+        places.groupBy("ah", "rd").agg(F.count("*").alias("n"), F.min(F.struct("c1", "id", "start", "size")).alias("one")), "region-kinds", large=True)
     marks = [kinds.where("n > 1").select("ah", "rd", F.lit(0).alias("from"), F.col("one.size").alias("to"))]
     cool, hot, n_hot = _dealt(kinds, "ah", "one.size", shard_bytes)
-    columns = ["one.c1", "one.c2", "one.id", "ah", "rd", "one.start", "one.size"]
+    columns = ["one.c1", "one.id", "ah", "rd", "one.start", "one.size"]
     pieces = []
     wanted = written(cool.select(*columns, F.lit(False).alias("hot")).unionByName(hot.select(*columns, F.lit(True).alias("hot"))), "regions-wanted", large=True)
     rows, total = wanted.agg(F.count("*"), F.sum("size")).first()
@@ -393,20 +408,19 @@ def _stretches(docs: DataFrame, places: DataFrame, length: int, bucket_bytes: in
 
 def without_repeats(
     docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 20,
-    shard_bytes: int = 1 << 20,
+    shard_bytes: int = 1 << 20, texts: bool = True,
 ) -> DataFrame:
-    """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (null: the whole text, unchanged)."""
+    """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, with ``texts``, ``kept`` (null: the whole
+    text, unchanged)."""
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
     every = _documents(docs, length, id_col, text_col)
     copies = written(every.groupBy("c1", "c2").agg(F.count("*").alias("copies")), "content-classes")
     # Copies first met in several tasks count as several; their regions are then whole repeats, as all of a copy is.
-    places = _regions(every)
+    places = _repeated(_regions(every), every.agg(F.sum(F.size("ah"))).first()[0] or 0)
     marks = written(_stretches(docs, places, length, bucket_bytes, shard_bytes, id_col, text_col), "stretches", large=True)
     marks_by_region = marks.distinct()
-    if marks.count() <= BROADCAST_ROWS:
-        marks_by_region = F.broadcast(marks_by_region)
-    marked = places.join(marks_by_region, ["ah", "rd"])
+    marked = places.join(_sent(marks_by_region, marks.count()), ["ah", "rd"])
     marked = marked.select("c1", "c2", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
     by_content = marked.groupBy("c1", "c2").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
     # all of a copy goes, so what is left has one row for each content
@@ -428,7 +442,7 @@ def without_repeats(
                             runs += 1
                         end = max(end, b)
                     left = b"".join([*kept, raw[end:]])
-                    rows.append((len(raw) - len(left), runs, hashlib.sha256(left).hexdigest(), left))
+                    rows.append((len(raw) - len(left), runs, hashlib.sha256(left).hexdigest(), left if texts else None))
                 removed, runs, sha, left = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha), pa.array(left, pa.binary())],
@@ -444,4 +458,4 @@ def without_repeats(
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept"))
+        *([F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if texts else []))
