@@ -49,7 +49,18 @@ def written(df: DataFrame, label: str, large: bool = False) -> DataFrame:
     df.write.parquet(path)
     if large:
         df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.written_to = path
+    return made
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes what ``written`` wrote. Only for tables that nothing will read again: what was made of them
+    must be written itself."""
+    for made in tables:
+        spark = made.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(made.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words_of(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import written
+from tablesync.llm.common import released, written
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -28,12 +28,16 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         joined = large.join(low, "a")
         small = joined.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(joined.select("a", F.col("low").alias("b")))
-        edges = written(small.where("a > b").distinct(), "edges")
+        before, edges = edges, written(small.where("a > b").distinct(), "edges")
+        released(before, large)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark:
             break
         mark = now
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+    stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    made = written(stars, "components")
+    released(edges)
+    return made

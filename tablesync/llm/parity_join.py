@@ -4,12 +4,16 @@ A document's set is its distinct word shingles, as 64-bit hashes. A sketch is ma
 are dealt into G blocks and each block keeps the XOR of its own, so every shingle that only one of
 two documents has changes at most one block, and the number of differing blocks is at most the
 symmetric difference. Two linked documents whose smaller one lies in a size band differ in at most d
-shingles, so with G > d blocks some block is equal in both: documents are joined on equal blocks of
-the band's grouping (a document also joins the band below, for smaller partners).
+shingles, so of the blocks that hold something in one of them all but d are equal in both. Put in one
+order for all documents (most shingles first, as those say most, then by hash), the first common block
+is among the first d + 1 of each: documents are joined on those d + 1 blocks of the band's grouping, d
+being taken for the document's own size (a document also joins the band below, for smaller partners).
+Bands double in width; G is a little over d at the band's upper end. That makes 0.25 to 0.5 keys
+a shingle at 80 %, each of several shingles.
 
-Blocks with too few shingles say little and are left out; G is larger by a reserve that makes up for
-them. A document with more such blocks than the reserve also joins on the prefix of its sorted
-hashes (the usual prefix filter), which finds pairs where both have too many. No pair is lost.
+Only two documents that both have at most d blocks with anything in them could miss each other. Such
+documents, one in a hundred or fewer (`weak_share` in the tests), also join on the prefix of their
+sorted hashes, the usual prefix filter, which is exact. No pair is lost.
 
 Pairs are never enumerated within a group. First each document meets the smallest of each of its
 blocks, and the pair that a 1024-bit parity sketch (its Hamming distance bounds the symmetric
@@ -20,8 +24,9 @@ two components are verified, more in every round, until every such pair has been
 Defined results: a null or empty text, or one without words, has no shingles and its own id as
 component; fewer words than the width are one shingle; equal sets are one node, so copies cost one
 row; rows with equal ids are one document; a row without id is in the component of an equal set that
-has one, or null; an empty table gives no rows; other columns are left out. Hashes are compared by
-40 bits in verification, which errs for a pair of 1,000 shingles each with odds of one in a million.
+has one, or null; an empty table gives no rows; other columns are left out; ids are whole numbers. Very
+long texts are sets like others. Sets are verified by all 64 bits of their hashes. Tables between the
+steps are deleted as soon as their successor is written.
 """
 
 from __future__ import annotations
@@ -35,13 +40,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import written
+from tablesync.llm.common import released, written
 from tablesync.llm.components import components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.random.default_rng(2024).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SKETCH_BITS = 1024
-_KEEP = 5  # bytes of a hash that verification compares
 #: Ids of documents that share a key, up to which they are broadcast to find their texts: 8 bytes
 #: each. More are joined by shuffle.
 BROADCAST_IDS = 2_000_000
@@ -69,20 +73,20 @@ class Band:
     number: int
     low: int
     high: int
-    differ: int
     blocks: int
-    fewest: int  # shingles that a block must hold to be joined on
+
+    def apart(self, n: int, rule: Likeness) -> int:
+        """Most shingles by which a set of size n differs from a partner, where the smaller one is of this band."""
+        return rule.differ(n, rule.partner(n)) if n <= self.high else rule.differ(self.high, n)
 
 
 def bands(rule: Likeness, upto: int) -> list[Band]:
-    """Size bands of the smaller partner, each half as wide again as the one below."""
+    """Size bands of the smaller partner, each twice as wide as the one below."""
     made, low = [], 1
     while low <= upto:
-        high = max(low, low * 3 // 2 - 1)
+        high = 2 * low - 1
         d = rule.differ(high, rule.partner(high))
-        fewest = 2 if high >= 60 else 1
-        reserve = d * 45 // 100 + 2 if fewest == 2 else d // 8 + 1
-        made.append(Band(len(made), low, high, d, d + 1 + reserve if d else 1, fewest if d else 1))
+        made.append(Band(len(made), low, high, d + 1 + max(2, d * 15 // 100) if d else 0))
         low = high + 1
     return made
 
@@ -129,24 +133,31 @@ def parity(own: np.ndarray) -> bytes:
 
 def join_keys(own: np.ndarray, rule: Likeness, layout: list[Band]) -> np.ndarray:
     """Blocks a set joins on, as 64-bit keys that hold band and block."""
+    keys, weak = block_keys(own, rule, layout)
+    if weak:
+        n = len(own)
+        prefix = n - (n * rule.least + rule.of - 1) // rule.of + 1
+        keys.append(_mix(own[:prefix], 37))
+    return np.unique(np.concatenate(keys)) if keys else own[:0]
+
+
+def block_keys(own: np.ndarray, rule: Likeness, layout: list[Band]) -> tuple[list[np.ndarray], bool]:
+    """The first blocks of each band, and whether some band has too few blocks with anything in them."""
     n = len(own)
     keys, weak = [], False
-    for band in layout:
-        if not band.differ or band.low > n or rule.partner(band.high) < n:  # 0: only equal sets link
+    for band in layout[: n.bit_length()]:
+        if not band.blocks or rule.partner(band.high) < n:  # without blocks only equal sets link
             continue
         block = (_mix(own, 34 + band.number % 4) >> np.uint64(33)) % np.uint64(band.blocks)
         order = np.argsort(block, kind="stable")
         which, first, held = np.unique(block[order], return_index=True, return_counts=True)
         sketch = np.bitwise_xor.reduceat(_mix(own[order], 38), first)
-        good = held >= band.fewest
-        if good.sum() <= band.differ:  # with d + 1 good blocks, one of them is equal in both
-            weak = True
         tag = which * np.uint64(1024) + np.uint64(band.number + 1)
-        keys.append(_mix(sketch[good] ^ _mix(tag[good], 39), 36))
-    if weak:
-        prefix = n - (n * rule.least + rule.of - 1) // rule.of + 1
-        keys.append(_mix(own[:prefix], 37))
-    return np.unique(np.concatenate(keys)) if keys else own[:0]
+        key = _mix(sketch ^ _mix(tag, 39), 36)
+        d = band.apart(n, rule)
+        weak |= len(key) <= d
+        keys.append(key[np.lexsort((key, -held))[: d + 1]])
+    return keys, weak
 
 
 def _sums(own: np.ndarray) -> tuple[int, int]:
@@ -232,8 +243,7 @@ def _involved(docs: DataFrame, ids: DataFrame, rule: Likeness, id_col: str, text
                 for own_id, value in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     own = shingles(value.as_py() or "", rule.width)
                     if len(own):
-                        small = own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEEP].tobytes()
-                        rows.append((own_id, *_sums(own), len(own), parity(own), small))
+                        rows.append((own_id, *_sums(own), len(own), parity(own), own.astype("<u8").tobytes()))
                 columns = list(zip(*rows, strict=True)) or [[]] * 6
                 kinds = [pa.int64()] * 4 + [pa.binary()] * 2
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "s1", "s2", "n", "sketch", "hashes"])
@@ -249,16 +259,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Likeness) -> DataFrame:
     both = left.join(own.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def numbers(raw: bytes) -> np.ndarray:
-            wide = np.zeros((len(raw) // _KEEP, 8), np.uint8)
-            wide[:, :_KEEP] = np.frombuffer(raw, np.uint8).reshape(-1, _KEEP)
-            return wide.view("<u8").ravel()
-
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = numbers(x.as_py()), numbers(y.as_py())
-                shared = len(np.intersect1d(p, q))
+                p, q = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
+                shared = len(np.intersect1d(p, q, assume_unique=True))
                 good.append(rule.of * shared >= rule.least * (len(p) + len(q) - shared))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
@@ -361,16 +366,20 @@ def linked(docs: DataFrame, rule: Likeness = Likeness(), id_col: str = "doc_id",
     """Per row: id, ``n_shingles``, ``component_id``: the smallest id reachable by links."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    every = _sets(docs, rule, id_col, text_col)
+    keyed = _sets(docs, rule, id_col, text_col)
+    every = written(keyed.select("id", "n", "s1", "s2"), "set-sizes")
     classes = every.where("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("class"))
     classes = written(classes, "set-classes")
-    ids = every.where("keys is not null").select("id", "s1", "s2").join(classes, ["s1", "s2"]).select(F.col("id").alias("node"), "class").distinct()
-    shared = written(_shared_keys(every.where("id is not null"), parts), "shared-keys", large=True)
-    shared = written(shared.join(ids, "node").select("key", F.col("class").alias("node")).distinct(), "shared-keys")
+    ids = every.where("n > 0 and id is not null").join(classes, ["s1", "s2"]).select(F.col("id").alias("node"), "class").distinct()
+    found = written(_shared_keys(keyed.where("id is not null"), parts), "shared-keys", large=True)
+    released(keyed)
+    shared = written(found.join(ids, "node").select("key", F.col("class").alias("node")).distinct(), "shared-keys", large=True)
+    released(found)
     involved = written(shared.select(F.col("node").alias("id")).distinct(), "shared-ids")
     own_sets = _involved(docs, involved, rule, id_col, text_col)
     named = classes.withColumnRenamed("class", "id")
     sets = written(own_sets.join(named, ["id", "s1", "s2"], "left_semi").select("id", "n", "sketch", "hashes"), "shared-sets", large=True)
+    released(involved)
 
     links = written(_verified(_first_pairs(shared, sets, rule), sets, rule), "links", large=True)
     labels, most = components(links), 8
@@ -379,14 +388,16 @@ def linked(docs: DataFrame, rule: Likeness = Likeness(), id_col: str = "doc_id",
         mixed = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
         found = written(_cross_pairs(known.join(mixed, "key"), sets, rule, most, parts), "cross-pairs", large=True)
         n, more = found.agg(F.count("*"), F.max("more")).first()
-        if n == 0:
-            break
-        new = _verified(found.select("a", "b").distinct(), sets, rule)
-        links = written(links.unionByName(new), "links", large=True)
-        labels = components(links)
-        if not more:
+        if n:
+            new = _verified(found.select("a", "b").distinct(), sets, rule)
+            before, links = links, written(links.unionByName(new), "links", large=True)
+            released(before, labels)
+            labels = components(links)
+        released(found)
+        if not n or not more:
             break
         most *= 8
+    released(shared, sets, links)
     rows = every.select("id", "n", "s1", "s2").join(classes, ["s1", "s2"], "left")
     rows = rows.join(labels.withColumnRenamed("node", "class"), "class", "left")
     return rows.select(

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tablesync.llm.components import components
-from tablesync.llm.parity_join import Likeness, bands, join_keys, linked, one_of_each, parity, shingles
+from tablesync.llm.parity_join import Likeness, bands, block_keys, join_keys, linked, one_of_each, parity, shingles
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -101,3 +101,25 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(500, 499), (499, 500), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100} | {200 + i: 100 for i in range(50)} | {499: 499, 500: 499}
+
+
+@pytest.mark.parametrize("rule, keys", [(Likeness(4, 85), 0.38), (Likeness(5, 80), 0.5)])
+def test_weak_share_and_keys_a_shingle(rule, keys):
+    """Over 50 to 2,000 shingles: how many sets need the prefix as well, and how many keys a set has."""
+    r = np.random.default_rng(9)
+    layout = bands(rule, 1 << 20)
+    for n in (50, 63, 64, 90, 127, 128, 200, 255, 300, 450, 600, 900, 1023, 1500, 2000):
+        some = [block_keys(np.unique(r.integers(1, 2**63, n, dtype=np.uint64)), rule, layout) for _ in range(200)]
+        weak_share = sum(weak for _, weak in some) / 200
+        assert weak_share <= (0.06 if n < 100 else 0.02), (n, weak_share)
+        assert sum(len(k) for own, _ in some for k in own) / 200 / n <= keys, n
+
+
+def test_a_passage_in_a_third_of_all_documents_and_a_very_long_text(documents, prose):
+    """Half of each such text is shared: many keys are, but no document links."""
+    passage = prose(4, 120)
+    rows = [(i, f"{prose(10 + i, 60)} {passage} {prose(400 + i, 60)}") for i in range(150)] + [(1000 + i, prose(3000 + i, 90)) for i in range(300)]
+    long = prose(1, 60_000).split()
+    rows += [(5000, " ".join(long)), (5001, " ".join(long[:-900]))]
+    got = {x.doc_id: x.component_id for x in linked(documents(rows), Likeness(5, 80)).collect()}
+    assert got == {i: i for i, _ in rows} | {5001: 5000}
