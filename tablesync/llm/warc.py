@@ -145,7 +145,7 @@ def _members(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str],
                 if known is None:
                     parts = [b"".join(parts)]
                     known = _header(parts[0])
-                    if known is None and (inflate.eof or len(parts[0]) > 1 << 20 or not parts[0].startswith(b"WARC/1."[: len(parts[0])])):
+                    if known is None and (inflate.eof or not parts[0].startswith(b"WARC/1."[: len(parts[0])])):  # a header is read to its end, however long
                         raise zlib.error("not a record")
         except zlib.error:
             base, data = base + 1, data[1:]
@@ -198,15 +198,28 @@ def read_archives(files: DataFrame, range_bytes: int = 8 << 20, batch_bytes: int
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Writes pages as archives in the shared folder and reads them back: a row per record."""
     folder = re.sub(r"^file:/(?!/)", "file:///", new_path(spark, "warc"))
-    return read_archives(written(write_archives(records_of(pages), folder), "warc-files"))
+    return read_archives(files_of(pages, folder))
+
+
+def files_of(pages: DataFrame, folder: str) -> DataFrame:
+    """The archives written: path, size, records."""
+    return written(write_archives(records_of(pages), folder), "warc-files")
 
 
 def archived_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """What the archives say of each page; length and digest of responses are taken from what was read."""
-    read = archived(spark, pages)
+    """What the archives say of each page; length and digest of responses are taken from what was read.
+
+    Fails where not as many records come back as were written."""
+    files = files_of(pages, re.sub(r"^file:/(?!/)", "file:///", new_path(spark, "warc")))
+    read = read_archives(files)
     response = F.col("payload").isNotNull()
-    return read.select(
+    found = read.select(
         "page_id",
         F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("full_bytes")).alias("payload_bytes"),
         F.when(response, F.sha2("payload", 256)).otherwise(F.col("digest")).alias("payload_digest"),
         "record_type", "refers_to")
+    found = written(found, "warc-pages")
+    put, got = files.agg(F.sum("records")).first()[0] or 0, found.count()
+    if put != got:
+        raise RuntimeError(f"{put} records were written, {got} were read")
+    return found

@@ -60,3 +60,18 @@ def test_small_ranges_on_files(spark, tmp_path):
     assert files.count() > 5
     got = read_archives(files, range_bytes=700).select("page_id", "full_bytes").collect()
     assert sorted(tuple(r) for r in got) == [(i, len(f"{i} " * (i * 13 % 400))) for i in range(300)]
+
+
+def test_a_header_over_a_mebibyte_and_lost_records(spark, monkeypatch):
+    """A url of 2 MiB that does not compress comes back, in small ranges too; a lost record is an error."""
+    import random
+
+    url = "data:" + random.Random(1).randbytes(1 << 20).hex()
+    frame = spark.createDataFrame([page(1, "a" * 200, url), page(2, "b" * 200), page(3, "a" * 200)], SCHEMA)
+    (row,) = [r for r in archived(spark, frame).collect() if r.page_id == 1]
+    assert row.url == url and bytes(row.payload) == b"a" * 200
+    assert sorted((r.page_id, r.refers_to) for r in archived_pages(spark, frame).collect()) == [(1, None), (2, None), (3, 1)]
+    read = warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda files: read(files).where("page_id != 2"))
+    with pytest.raises(RuntimeError):
+        archived_pages(spark, frame)
