@@ -14,7 +14,7 @@ from tablesync.errors import ConfigError
 from tablesync.sources.frames import FileSource, TableSource
 from tablesync.sources.jdbc import JdbcConnection, JdbcSource
 from tablesync.spec import TableSpec
-from tablesync.targets import FileTarget, JdbcTarget, Layout, TableTarget
+from tablesync.targets import FileLogTarget, FileTarget, JdbcTarget, Layout, TableTarget
 
 
 @dataclass(frozen=True)
@@ -28,13 +28,22 @@ class Files(FileSource):
     write_options: Mapping[str, str] = field(default_factory=dict)
 
     def frame(self, spark: SparkSession, name: str) -> DataFrame:
+        logged = FileLogTarget(spark, f"{self.path.rstrip('/')}/{name}")
+        if logged.exists():
+            return logged.read()
         stored = FileTarget(
             spark, f"{self.path.rstrip('/')}/{name}", format=self.format, options=self.options
         )
         return stored.read() if stored.exists() else super().frame(spark, name)
 
-    def target(self, spark: SparkSession, spec: TableSpec) -> FileTarget:
+    def target(self, spark: SparkSession, spec: TableSpec) -> FileTarget | FileLogTarget:
         key = tuple(spec.write_key or ())
+        if spec.upsert_unit != "slots":
+            if self.format != "parquet":
+                raise ConfigError(f"{spec.name}: upsert_unit {spec.upsert_unit} needs parquet files")
+            return FileLogTarget(
+                spark, f"{self.path.rstrip('/')}/{spec.target_name}", key=key, upsert={"files": "rewrite", "marks": "mark"}[spec.upsert_unit],
+                schema_evolution=spec.schema_evolution, write_partitions=spec.write_partitions)
         return FileTarget(
             spark, f"{self.path.rstrip('/')}/{spec.target_name}", format=self.format,
             options={**self.options, **self.write_options},

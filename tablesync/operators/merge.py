@@ -59,8 +59,9 @@ def merge_columns(
     """Matched target rows take the batch's columns and keep their others;
     unmatched batch rows are inserted with NULL in the columns they lack.
 
-    A small batch is broadcast against the target, which then is not shuffled;
-    a large one needs one full outer join.
+    Updates are a left join from the target, inserts an anti join from the batch. A small batch is
+    broadcast against the target, which then is not shuffled; with a large one both are sort-merged,
+    and adaptive execution splits a hot key's rows in either, which it cannot do in a full outer join.
     """
     key = list(key)
     updated = [c for c in batch.columns if c not in key]
@@ -70,18 +71,19 @@ def merge_columns(
         *[quoted(c).alias(f"__new_{c}") for c in updated],
         F.lit(True).alias(_HIT),
     )
-    rows = keyed_target.join(join_side(new, small), key, "left" if small else "full")
+    rows = keyed_target.join(join_side(new, small), key, "left")
     taken = {
         c: F.when(F.col(_HIT), quoted(f"__new_{c}")).otherwise(quoted(c)) for c in updated
     }
     merged = rows.select(*[taken.get(c, quoted(c)).alias(c) for c in target.columns])
     inserts = batch.where(any_null(key))
+    names = [quoted(k) for k in key]
+    known = keyed_target.select(*names)
     if small:
-        names = [quoted(k) for k in key]
-        known = keyed_target.select(*names).join(
-            join_side(keyed_batch.select(*names), small), key, "left_semi"
-        )
-        inserts = inserts.unionByName(keyed_batch.join(known, key, "left_anti").select(*_all(batch)))
+        known = known.join(join_side(keyed_batch.select(*names), small), key, "left_semi")
+    else:
+        known = known.hint("merge")
+    inserts = inserts.unionByName(keyed_batch.join(known, key, "left_anti").select(*_all(batch)))
     untouched = target.where(any_null(key))
     return merged.unionByName(untouched).unionByName(inserts, allowMissingColumns=True)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from datetime import datetime
 
@@ -17,7 +18,6 @@ from tablesync.sources.frames import FrameSource, frame_slice, query_slice
 from tablesync.spec import Project, SyncJob, TableSpec
 from tablesync.streaming import ingest_available
 from tablesync.targets import FileTarget, Layout
-from tablesync.targets.storage import Storage
 from tablesync.targets.tables import TableTarget
 
 
@@ -148,11 +148,8 @@ def catalog_truncate_insert(spark, sf_dir):
 def custom_query_from_file(spark, sf_dir):
     """SQL kept in a file beside the project, with a place for the window."""
     table(spark, sf_dir, "orders").createOrReplaceTempView("orders_for_file_query")
-    folder = Storage(spark, new_path(spark, "sql"))
-    text = "(SELECT o_orderkey, o_totalprice * 2 AS twice FROM orders_for_file_query {query_filter}) q"
-    folder.publish_text("orders.sql", text)
-    spec = TableSpec("orders", "orders", "incremental", "o_orderkey", "int", custom_query=folder.read_text("orders.sql"))
-    return query_slice(spark, spec, query_text(spec, None), "500").df
+    spec = TableSpec("orders", "orders", "incremental", "o_orderkey", "int", custom_query_file="twice.sql")
+    return query_slice(spark, spec, query_text(spec, os.path.dirname(__file__)), "500").df
 
 
 @query(

@@ -19,6 +19,7 @@ IF_EXISTS = ("replace", "append")
 COLUMN_CASES = ("lower", "upper", "as_is")
 DUPLICATE_POLICIES = ("error", "latest")
 SCHEMA_EVOLUTIONS = ("merge", "strict")
+UPSERT_UNITS = ("slots", "files", "marks")
 
 
 def _one_of(option: str, value: Any, allowed: Sequence[str], optional: bool = False) -> None:
@@ -68,6 +69,7 @@ class TableSpec:
     sort_by: Sequence[str] = ()
     cluster_by: Sequence[str] = ()
     key_buckets: int = 0
+    upsert_unit: str = "slots"
     schema_evolution: str = "merge"
 
     def __post_init__(self) -> None:
@@ -77,6 +79,9 @@ class TableSpec:
         _one_of("column_name_case", self.column_name_case, COLUMN_CASES, optional=True)
         _one_of("duplicate_keys", self.duplicate_keys, DUPLICATE_POLICIES)
         _one_of("schema_evolution", self.schema_evolution, SCHEMA_EVOLUTIONS)
+        _one_of("upsert_unit", self.upsert_unit, UPSERT_UNITS)
+        if self.upsert_unit != "slots" and (self.partition_by or self.cluster_by or self.sort_by or self.key_buckets):
+            raise ConfigError(f"{self.name}: upsert_unit {self.upsert_unit} takes no other layout")
         if self.replication_method == "incremental":
             if not self.iterate_columns:
                 raise ConfigError(f"{self.name}: incremental replication needs iterate_column")

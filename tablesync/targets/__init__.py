@@ -1,5 +1,6 @@
+from tablesync.targets.file_log import FileLogTarget
 from tablesync.targets.files import FileTarget, Layout
 from tablesync.targets.jdbc import JdbcTarget
 from tablesync.targets.tables import TableTarget
 
-__all__ = ["FileTarget", "JdbcTarget", "Layout", "TableTarget"]
+__all__ = ["FileLogTarget", "FileTarget", "JdbcTarget", "Layout", "TableTarget"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from tablesync.errors import ConfigError
 from tablesync.functions.schema import fitted, merged_schema
 
 
+_overwriting = threading.Lock()
+
+
 class TableTarget:
     """Append, replace, and truncate-and-insert.
 
@@ -62,10 +66,21 @@ class TableTarget:
 
     def truncate_insert(self, df: DataFrame) -> None:
         if self.exists():
-            self._fitted(df).write.insertInto(self.name, overwrite=True)
+            self._overwritten(self._fitted(df))
         else:
             self.replace(df)
 
+    def _overwritten(self, rows: DataFrame) -> None:
+        """All old rows go, also those in partitions without a new one, whatever the session's overwrite mode."""
+        name = "spark.sql.sources.partitionOverwriteMode"
+        with _overwriting:  # the mode is read from the session, which threads share
+            mode = self.spark.conf.get(name)
+            self.spark.conf.set(name, "static")
+            try:
+                rows.write.insertInto(self.name, overwrite=True)
+            finally:
+                self.spark.conf.set(name, mode)
+
     def upsert(self, df: DataFrame, key: Sequence[str], **_: object) -> None:
         raise ConfigError(f"{self.name}: a catalog table of format {self.format} takes no upsert or merge")
 

@@ -1,0 +1,157 @@
+"""Tables as a log of files."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.errors import ConcurrentWriteError, DuplicateKeyError, LoadError
+from tablesync.targets.file_log import FileLogTarget
+
+
+def target(spark, tmp_path, **options):
+    return FileLogTarget(spark, str(tmp_path / "t"), key=["id"], **options)
+
+
+def base(spark, n=1000, parts=10):
+    return spark.range(0, n, 1, parts).select("id", F.concat(F.lit("v"), "id").alias("v"), (F.col("id") % 7).alias("g"))
+
+
+def held(table):
+    return {r.id: (r.v, r.g) for r in table.read().collect()}
+
+
+def written_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("mode", ["rewrite", "mark"])
+def test_random_upserts_agree_with_a_dictionary(spark, tmp_path, mode):
+    r = random.Random(mode)
+    table = target(spark, tmp_path, upsert=mode, checkpoint_every=3)
+    table.replace(base(spark, 200, 4))
+    expected = {i: (f"v{i}", i % 7) for i in range(200)}
+    for step in range(7):
+        ids = r.sample(range(260), r.choice([1, 5, 40]))
+        if step % 3 == 2:  # a narrow batch updates one column, inserts NULL in the others
+            table.upsert(spark.createDataFrame([(i, f"n{step}") for i in ids], "ID long, v string"), ["id"])
+            expected |= {i: (f"n{step}", expected.get(i, (None, None))[1]) for i in ids}
+        else:
+            table.upsert(spark.createDataFrame([(i, f"w{step}", step) for i in ids], "id long, v string, g long"), ["id"])
+            expected |= {i: (f"w{step}", step) for i in ids}
+        assert held(table) == expected and table.read().count() == len(expected)
+        if step == 4:
+            table.pack()
+            assert held(table) == expected
+
+
+def test_only_files_that_hold_a_key_are_rewritten(spark, tmp_path):
+    """Ten files by ranges of the key; three keys of two of them."""
+    table = target(spark, tmp_path)
+    table.replace(base(spark))
+    before = {f.name for f in table.files()}
+    table.upsert(spark.createDataFrame([(5, "x", 1), (17, "x", 1), (905, "x", 1)], "id long, v string, g long"), ["id"])
+    after = {f.name for f in table.files()}
+    assert len(before) == 10 and len(before - after) == 2
+    assert held(table)[905] == ("x", 1) and table.read().count() == 1000
+
+
+def test_bloom_filters_prune_where_ranges_overlap(spark, tmp_path):
+    """Even and odd ids in files of the same range: the range does not tell them apart, the filter does."""
+    table = target(spark, tmp_path)
+    table.replace(base(spark).where("id % 2 = 0").coalesce(1))
+    table.append(base(spark).where("id % 2 = 1").coalesce(1))
+    keys = spark.createDataFrame([(501,), (777,)], "id long")
+    assert len(table.candidates(table.state(), keys, 2, ["id"])) == 1
+    assert len(table.candidates(table.state(), keys, 10**6, ["id"])) == 2
+    assert table.candidates(table.state(), spark.createDataFrame([(5000,)], "id long"), 1, ["id"]) == []
+
+
+def test_marks_cost_what_the_batch_costs(spark, tmp_path):
+    table = target(spark, tmp_path, upsert="mark")
+    table.replace(base(spark, 200_000, 4))
+    files = {f.name for f in table.files()}
+    whole = written_bytes(tmp_path / "t" / "data")
+    table.upsert(spark.range(0, 200_000, 20_000, 1).select("id", F.lit("x").alias("v"), F.lit(1).cast("long").alias("g")), ["id"])
+    assert written_bytes(tmp_path / "t" / "data") - whole < whole / 50 and written_bytes(tmp_path / "t" / "marks") < whole / 50
+    assert files < {f.name for f in table.files()}  # all files are still there
+    text = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in text and "BatchEvalPython" not in text and "MapInArrow" not in text
+    assert table.read().where("v = 'x'").count() == 10 and table.read().count() == 200_000
+    assert table.pack() == len(files) + 1 and not any(f.marks for f in table.files())
+    assert table.read().where("v = 'x'").count() == 10 and table.read().count() == 200_000
+
+
+def test_commits_stay_small_and_checkpoints_shorten_the_state(spark, tmp_path):
+    table = target(spark, tmp_path, checkpoint_every=10)
+    rows = base(spark, 3, 1)
+    for _ in range(25):
+        table.append(rows)
+    log = tmp_path / "t" / "_log"
+    sizes = [f.stat().st_size for f in sorted(log.glob("000000??.json"))]
+    assert len(sizes) == 25 and max(sizes) < 1.1 * min(sizes)
+    assert len(table.state().tables) == 6 and table.read().count() == 75
+    assert table.pack() == 25 and len(table.files()) == 1 and table.read().count() == 75
+
+
+def test_an_append_during_packing_stays_and_a_lost_race_is_refused(spark, tmp_path, monkeypatch):
+    table = target(spark, tmp_path)
+    for k in range(3):
+        table.append(base(spark, 10, 1).withColumn("id", F.col("id") + 10 * k))
+    write = FileLogTarget._write
+
+    def meanwhile(action):
+        def run(self, *args, **kwargs):
+            monkeypatch.setattr(FileLogTarget, "_write", write)
+            action(target(spark, tmp_path))
+            return write(self, *args, **kwargs)
+
+        monkeypatch.setattr(FileLogTarget, "_write", run)
+
+    more = base(spark, 5, 1).withColumn("id", F.col("id") + 100)
+    meanwhile(lambda other: other.append(more))
+    table.pack()
+    assert sorted(held(table)) == [*range(30), *range(100, 105)]
+    one = spark.createDataFrame([(3, "late", 0)], "id long, v string, g long")
+    for action, refused in ((lambda: table.pack(), True), (lambda: table.upsert(one, ["id"]), True), (lambda: table.append(more), False)):
+        table.append(base(spark, 1, 1).withColumn("id", F.col("id") - 1))
+        meanwhile(lambda other: other.upsert(spark.createDataFrame([(3, "first", 0), (-1, "m", 0)], "id long, v string, g long").where("id = 3"), ["id"]))
+        if refused:
+            with pytest.raises(ConcurrentWriteError):
+                action()
+        else:
+            action()
+        assert held(table)[3][0] == "first"
+
+
+def test_keys_nulls_types_and_names(spark, tmp_path):
+    table = target(spark, tmp_path)
+    with pytest.raises(LoadError):
+        table.read()
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string")
+    with pytest.raises(DuplicateKeyError):
+        table.upsert(twice, ["id"])
+    assert not table.exists()
+    table.upsert(spark.createDataFrame([(1, "a"), (None, "n")], "id int, v string"), ["id"])
+    table.upsert(spark.createDataFrame([(2**40, "b"), (1, "c"), (None, "m")], "id long, v string"), ["id"])  # the key widens
+    assert sorted(((r.id, r.v) for r in table.read().collect()), key=repr) == [(1, "c"), (2**40, "b"), (None, "m"), (None, "n")]
+    table.append(spark.createDataFrame([(9, 1.5)], "id long, extra double"), ("s", 4))
+    table.append(spark.createDataFrame([(9, 1.5)], "id long, extra double"), ("s", 4))
+    assert table.read().columns == ["id", "v", "extra"] and table.read().where("id = 9").count() == 1
+    table.upsert(spark.createDataFrame([(9, "p", 1), (9, "q", 2)], "id long, v string, o int").drop("o"), ["id"], duplicates="latest", order="v")
+    assert [r.v for r in table.read().where("id = 9").collect()] == ["q"]
+    table.truncate_insert(spark.createDataFrame([(4, "z")], "id long, v string"))
+    assert [tuple(r) for r in table.read().collect()] == [(4, "z", None)]
+    table.upsert(spark.createDataFrame([], "id long, v string, extra double"), ["id"])
+    assert table.read().count() == 1
+
+
+def test_keys_of_two_columns_and_text(spark, tmp_path):
+    table = FileLogTarget(spark, str(tmp_path / "t"), key=["a", "b"], upsert="mark")
+    rows = [(f"k{i % 5}", i, i) for i in range(50)]
+    table.replace(spark.createDataFrame(rows, "a string, b long, n long"))
+    table.upsert(spark.createDataFrame([("k0", 0, -1), ("k0", 1, -2), ("zz", 5, -3)], "a string, b long, n long"), ["a", "b"])
+    got = {(r.a, r.b): r.n for r in table.read().collect()}
+    assert got == {(a, b): n for a, b, n in rows} | {("k0", 0): -1, ("k0", 1): -2, ("zz", 5): -3}
+    table.upsert(spark.createDataFrame([("k9", 7, 0)], "a string, b long, n long"), ["b"])  # another key than the indexed one
+    assert {r.n for r in table.read().where("b = 7").collect()} == {0}

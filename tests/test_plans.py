@@ -45,7 +45,21 @@ def test_large_batch_is_sort_merged_however_small_its_files(spark, orders):
     text = plan(upsert_rows(orders, orders, ["o_orderkey"], False))
     assert "SortMergeJoin" in text and "Broadcast" not in text
     text = plan(merge_columns(orders, orders.select("o_orderkey", "o_orderstatus"), ["o_orderkey"], False))
-    assert text.count("SortMergeJoin") == 1 and "FullOuter" in text
+    assert text.count("SortMergeJoin") == 2 and "LeftOuter" in text and "LeftAnti" in text and "FullOuter" not in text
+
+
+def test_hot_key_of_a_large_merge_is_split(spark, setting):
+    """A third of the target's rows have one key: adaptive execution deals them to several tasks."""
+    for name, value in (("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB"), ("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5"),
+                        ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB"), ("spark.sql.adaptive.coalescePartitions.enabled", "false"),
+                        ("spark.sql.shuffle.partitions", "12")):
+        setting(name, value)
+    target = spark.range(0, 90_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(0).alias("n"))
+    batch = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("k"), F.lit(1).alias("n"))
+    merged = merge_columns(target, batch, ["k"], False)
+    sizes = [r["count"] for r in merged.where("v is not null").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 90_000 and max(sizes) < 20_000
+    assert merged.where("v is null").count() == 60_000 - target.join(batch, "k", "left_semi").select("k").distinct().count()
 
 
 @pytest.mark.parametrize("threshold, join", [("10MB", True), ("1KB", False), ("-1", False)])
