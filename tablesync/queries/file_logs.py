@@ -60,6 +60,17 @@ def append_log_packed(spark, sf_dir):
     return target.read()
 
 
+@query(
+    "layout_z_order",
+    "select l_orderkey, l_partkey, l_quantity from lineitem where l_orderkey between 1000 and 2500 and l_partkey between 200 and 700",
+)
+def layout_z_order(spark, sf_dir):
+    """lineitem along the Z curve of order and part, and a range of both: files elsewhere are not opened."""
+    target = FileLogTarget(spark, new_path(spark, "z-order"), key=["l_orderkey", "l_partkey"], z_order=32)
+    target.replace(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
+    return target.read({"l_orderkey": (1000, 2500), "l_partkey": (200, 700)})
+
+
 _SKEWED = "case when l_orderkey % 11 = 0 then null else l_orderkey * l_orderkey end"
 
 

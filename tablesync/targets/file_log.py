@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tablesync.errors import ConcurrentWriteError, ConfigError, DuplicateKeyError, LoadError
 from tablesync.functions.audit import quoted, resolve_columns
+from tablesync.functions.curve import within, z_place
 from tablesync.functions.schema import fitted, merged_schema, require_free_names, shared_columns
 from tablesync.operators.dedup import any_null, key_violations, latest_per_key
 from tablesync.operators.merge import join_side, memory_bytes, merge_columns, upsert_rows
@@ -68,13 +69,15 @@ class FileLogTarget:
     def __init__(
         self, spark: SparkSession, path: str, *, key: Sequence[str] = (), upsert: str = "rewrite",
         schema_evolution: str = "merge", file_bytes: int = 128 << 20, checkpoint_every: int = 10,
-        blooms: int = 8, write_partitions: int | None = None,
+        blooms: int = 8, write_partitions: int | None = None, z_order: int = 0,
     ):
+        """``key`` are the columns that entries index. With ``z_order`` > 0 a write deals its rows to that many
+        files along the Z curve over them, so that ranges of any of these columns meet few files."""
         if upsert not in ("rewrite", "mark"):
             raise ConfigError("upsert is 'rewrite' or 'mark'")
         self.spark, self.storage, self.key, self.mode = spark, Storage(spark, path), tuple(key), upsert
         self.schema_evolution, self.file_bytes, self.checkpoint_every = schema_evolution, file_bytes, checkpoint_every
-        self.blooms, self.write_partitions = blooms, write_partitions
+        self.blooms, self.write_partitions, self.z_order = blooms, write_partitions, z_order
 
     # -- reading ---------------------------------------------------------
 
@@ -125,11 +128,23 @@ class FileLogTarget:
         found = which if which is not None else self.entries(state, "marks", "bytes")
         return [LiveFile(r["file"], tuple(r["marks"] or ()), r["bytes"]) for r in found.select("file", "marks", "bytes").collect()]
 
-    def read(self) -> DataFrame:
+    def read(self, between: dict[str, tuple] | None = None) -> DataFrame:
+        """The rows; with ``between`` (column: (lowest, highest), None open) those inside, and only files
+        whose ranges of indexed columns meet them are opened."""
         state = self.state()
         if state is None:
             raise LoadError(f"no table at {self.storage.root}")
-        return self._rows(state.schema, self.files(state))
+        if not between:
+            return self._rows(state.schema, self.files(state))
+        return self._rows(state.schema, self.meeting(state, between)).where(within(between, state.schema.names))
+
+    def meeting(self, state: LogState, between: dict[str, tuple]) -> list[LiveFile]:
+        told = self.entries(state)
+        for i, name in enumerate(state.key):
+            low, high = between.get(name, (None, None))
+            told = told if low is None else told.where(F.col(f"hi{i}") >= F.lit(low))
+            told = told if high is None else told.where(F.col(f"lo{i}") <= F.lit(high))
+        return self.files(state, told)
 
     def _rows(self, schema: T.StructType, files: Iterable[LiveFile]) -> DataFrame:
         files = list(files)
@@ -301,7 +316,10 @@ class FileLogTarget:
         key = [quoted(k) for k in self.key if k in df.columns]
         if self.write_partitions and arranged:
             df = df.coalesce(self.write_partitions)
-        if key and arranged:
+        if self.z_order and arranged and key:
+            place = z_place(df, [k for k in self.key if k in df.columns])
+            df = df.withColumn("_salt", place).repartitionByRange(self.z_order, "_salt").sortWithinPartitions("_salt").drop("_salt")
+        elif key and arranged:
             df = df.sortWithinPartitions(*key)
         df.write.parquet(self.storage.full(f"data/{token}"))
         return token
