@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablesync.errors import ConfigError, LoadError
 from tablesync.functions.audit import quoted
@@ -67,11 +67,59 @@ def _narrows(old: T.DataType, new: T.DataType) -> bool:
     return type(old) in _WHOLE and type(new) in _WHOLE
 
 
+def merged_type(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The type that holds every value of both, or None: fields of structs by name in any case, the target's
+    first; elements of arrays; values of maps, whose keys only widen."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        arriving = {f.name.lower(): f.dataType for f in new}
+        if len(arriving) < len(new.fields):
+            return None  # names that differ by case only
+        known = {f.name.lower() for f in old}
+        kinds = [(f.name, merged_type(f.dataType, arriving.get(f.name.lower(), f.dataType))) for f in old]
+        kinds += [(f.name, f.dataType) for f in new if f.name.lower() not in known]
+        if any(kind is None for _, kind in kinds):
+            return None
+        return T.StructType([T.StructField(name, kind, True) for name, kind in kinds])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        element = merged_type(old.elementType, new.elementType)
+        return element and T.ArrayType(element, True)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        key, value = merged_type(old.keyType, new.keyType), merged_type(old.valueType, new.valueType)
+        same = not isinstance(old.keyType, T.StructType) or key == old.keyType
+        return T.MapType(key, value, True) if key is not None and value is not None and same else None
+    if lossless(new, old):
+        return old
+    return new if _widens(old, new) else None
+
+
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def as_type(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A nested value in a merged type, by name; fields it lacks are NULL, and NULL stays NULL."""
+    if have == want or not isinstance(have, _NESTED):
+        return value.cast(want)
+    if isinstance(have, T.StructType):
+        spelled = {f.name.lower(): f for f in have}
+        fields = []
+        for field in want:
+            own = spelled.get(field.name.lower())
+            inner = F.lit(None).cast(field.dataType) if own is None else as_type(value.getField(own.name), own.dataType, field.dataType)
+            fields.append(inner.alias(field.name))
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType):
+        return F.transform(value, lambda x: as_type(x, have.elementType, want.elementType))
+    entries = F.transform(F.map_entries(value), lambda e: F.struct(
+        as_type(e.key, have.keyType, want.keyType).alias("key"), as_type(e.value, have.valueType, want.valueType).alias("value")))
+    return F.map_from_entries(entries)
+
+
 def merged_schema(target: T.StructType, batch: T.StructType, evolution: str) -> T.StructType:
     """Target columns, then the batch's new ones. ``strict`` refuses new ones.
 
     Under ``merge`` a column whose batch type is wider (int to bigint, float to double, more decimal
-    digits) takes that type. A type that the target's cannot hold without loss is refused.
+    digits) takes that type, inside structs, arrays and maps as well, and structs gain fields. A type that
+    the target's cannot hold without loss is refused.
     """
     require_free_names(batch.names)
     known = {field.name.lower() for field in target}
@@ -84,6 +132,8 @@ def merged_schema(target: T.StructType, batch: T.StructType, evolution: str) ->
         new = arriving.get(field.name.lower(), field.dataType)
         if lossless(new, field.dataType) or (evolution != "merge" and _narrows(new, field.dataType)):
             new = field.dataType
+        elif evolution == "merge" and isinstance(new, _NESTED) and merged_type(field.dataType, new) is not None:
+            new = merged_type(field.dataType, new)
         elif evolution != "merge" or not _widens(field.dataType, new):
             raise LoadError(
                 f"column {field.name}: {new.simpleString()} does not fit {field.dataType.simpleString()} without loss; cast it first")
@@ -115,6 +165,6 @@ def fitted(batch: DataFrame, target: T.StructType, columns: list[str] | None = N
                 limit = 1 << (_BITS[type(field.dataType)] - 1)
                 problem = F.concat(F.lit(f"{field.name}: "), value.cast("string"), F.lit(f" is no {field.dataType.simpleString()}"))
                 value = F.when(value.isNull() | value.between(-limit, limit - 1), value).otherwise(F.raise_error(problem).cast(batch.schema[name].dataType))
-            value = value.cast(field.dataType)
+            value = value.cast(field.dataType) if name is None else as_type(value, batch.schema[name].dataType, field.dataType)
         values.append(value.alias(field.name))
     return batch.select(*values)

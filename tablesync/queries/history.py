@@ -85,6 +85,24 @@ def schema_evolution_widen(spark, sf_dir):
     return target.read()
 
 
+@query(
+    "schema_evolution_nested",
+    """
+select o_orderkey as k, o_custkey::bigint as customer, null as status, o_totalprice::double as price, null as note from orders
+union all select -o_orderkey - 1, o_custkey + 5000000000, o_orderstatus, o_totalprice::double, 'n' || o_orderkey from orders where o_orderkey % 3 = 0""",
+)
+def schema_evolution_nested(spark, sf_dir):
+    """A struct gains a field and a wider one, an array of structs a field: old files are read by name."""
+    orders = table(spark, sf_dir, "orders")
+    target = FileTarget(spark, new_path(spark, "nested"))
+    price = F.col("o_totalprice").cast("double").alias("price")
+    target.append(orders.select(F.col("o_orderkey").cast("bigint").alias("k"), F.struct(F.col("o_custkey").cast("int").alias("customer")).alias("who"), F.array(F.struct(price)).alias("items")))
+    wide = F.struct(F.col("o_orderstatus").alias("status"), (F.col("o_custkey") + 5_000_000_000).cast("bigint").alias("CUSTOMER"))
+    items = F.array(F.struct(F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("note"), price))
+    target.append(orders.where("o_orderkey % 3 = 0").select((-F.col("o_orderkey") - 1).cast("bigint").alias("k"), items.alias("items"), wide.alias("who")))
+    return target.read().select("k", "who.customer", "who.status", F.col("items")[0]["price"].alias("price"), F.col("items")[0]["note"].alias("note"))
+
+
 @query(
     "stream_into_appended",
     "with latest as (select user_id, max(ts) as ts from events group by user_id) "
