@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import threading
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -78,6 +78,7 @@ class FileLogTarget:
         self.spark, self.storage, self.key, self.mode = spark, Storage(spark, path), tuple(key), upsert
         self.schema_evolution, self.file_bytes, self.checkpoint_every = schema_evolution, file_bytes, checkpoint_every
         self.blooms, self.write_partitions, self.z_order = blooms, write_partitions, z_order
+        self.guard: Callable[[], None] = lambda: None  # raises where this writer may no longer publish
 
     # -- reading ---------------------------------------------------------
 
@@ -381,6 +382,7 @@ class FileLogTarget:
                     self._still_fits(state, now, touched or set(), alone)
                     schema = merged_schema(now.schema, schema, self.schema_evolution)
                 number = 1 if now is None else now.number + 1
+                self.guard()
                 batches = {} if now is None else dict(now.batches)
                 if batch is not None:
                     batches[batch[0]] = batch[1]

@@ -140,6 +140,7 @@ class FileTarget:
         self.layout = layout or Layout()
         self.schema_evolution = schema_evolution
         self.write_partitions = write_partitions
+        self.guard: Callable[[], None] = lambda: None  # raises where this writer may no longer publish
 
     # -- reading ---------------------------------------------------------
 
@@ -480,6 +481,7 @@ class FileTarget:
                     if batch is not None:
                         after = replace(after, batches={**after.batches, batch[0]: batch[1]})
                     number = 1 if current is None else current.number + 1
+                    self.guard()
                     published = self.storage.publish_text(f"{COMMITS}/{number:08d}.json", after.to_json())
         finally:
             if not published:
