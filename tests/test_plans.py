@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.operators import key_violations, latest_per_key, merge_columns, upsert_rows
-from tablesync.plans.runlog import latest_state
+from tablesync.plans.runlog import RunLog, latest_state
 from tablesync.queries import QUERIES
 from tablesync.targets import FileTarget, Layout, files
 from places import SMALL
@@ -96,6 +96,20 @@ def test_counts_and_states_are_aggregated_before_the_shuffle(spark, orders):
     assert "partial_max_by" in text and text.count("Exchange") == 1
 
 
+def test_states_are_filtered_before_duplicates_are_removed(spark, tmp_path):
+    """With loose events beside packed ones, the history of other tables is not shuffled."""
+    log = RunLog(spark, str(tmp_path / "log"))
+    for k in range(6):
+        log.record("p", f"t{k}", "completed", last_point=str(k))
+    log.compact(over=3)
+    log.record("p", "t1", "failed")
+    text = plan(log.events(lambda rows: rows.where("table_name = 't1'")))
+    assert "PushedFilters: [IsNotNull(table_name), EqualTo(table_name,t1)]" in text
+    assert log.state("p", "t1").status == "failed" and log.state("p", "t1").last_point == "1"
+    found = log.states([("p", "t1"), ("p", "t5")])
+    assert {k: (s.status, s.last_point) for k, s in found.items()} == {("p", "t1"): ("failed", "1"), ("p", "t5"): ("completed", "5")}
+
+
 def test_partition_filter_prunes_folders(spark, orders, tmp_path):
     target = FileTarget(spark, str(tmp_path / "t"), layout=Layout(partition_by=("o_orderstatus",)))
     target.replace(orders)
