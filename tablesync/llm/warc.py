@@ -31,6 +31,7 @@ from tablesync.session import new_path
 
 MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
+BROADCAST_DIGESTS = 200_000  # of 64 characters and a number each: some 30 MB
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
@@ -44,13 +45,16 @@ RECORDS = (
 def records_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 100) -> DataFrame:
     """Pages with payload, digest, and the id of the response they revisit, or null.
 
-    Only digests seen more than once are joined; a hot digest is pre-aggregated on one side, and the
-    other side of the join may be split."""
+    Payloads stay where they are read: only digests and ids are counted by shuffle, and up to
+    ``BROADCAST_DIGESTS`` digests seen more than once are broadcast to the pages. Where there are more,
+    the same join shuffles; a hot digest is pre-aggregated on one side, and the other side may be split."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
     pages = pages.withColumns({"digest": F.sha2("payload", 256), "full_bytes": F.octet_length("payload").cast("long")})
     first = pages.where(F.col("full_bytes") >= min_revisit).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    joined = pages.join(first.where("n > 1").drop("n"), "digest", "left")
+    repeated = written(first.where("n > 1").drop("n"), "warc-digests")
+    few = repeated.count() <= BROADCAST_DIGESTS
+    joined = pages.join(F.broadcast(repeated) if few else repeated.hint("shuffle_merge"), "digest", "left")
     return joined.select(
         "page_id", "url", "payload", "digest", "full_bytes",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))

@@ -75,3 +75,19 @@ def test_a_header_over_a_mebibyte_and_lost_records(spark, monkeypatch):
     monkeypatch.setattr(warc, "read_archives", lambda files: read(files).where("page_id != 2"))
     with pytest.raises(RuntimeError):
         archived_pages(spark, frame)
+
+
+def test_payloads_are_not_shuffled(spark, monkeypatch):
+    """Repeated digests go to the pages; beyond the stated number the same rows come from a shuffle."""
+    frame = spark.createDataFrame([page(i, f"<p>{i % 30}" * 60) for i in range(200)] + [page(None, "n" * 200), page(500, "n" * 200)], SCHEMA)
+
+    def planned():
+        rows = records_of(frame)
+        return rows._jdf.queryExecution().executedPlan().toString(), sorted((tuple(r) for r in rows.collect()), key=repr)
+
+    text, rows = planned()
+    assert "hashpartitioning" not in text and "BroadcastHashJoin" in text
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 3)
+    other, again = planned()
+    assert "hashpartitioning" in other and again == rows
+    assert sum(r[5] is not None for r in rows) == 171
