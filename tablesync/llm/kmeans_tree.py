@@ -4,14 +4,15 @@ The tree is fitted on a bounded sample (``sample_rows`` vectors, chosen by hash
 broadcast; its size depends on ``max_leaves``, not on the table. Every row is put into the leaf that
 greedy descent finds. A query walks the tree through a priority queue of centre distances and visits
 the nearest leaves. How many is calibrated: for ``calibration`` queries the true neighbours are found
-by a scan of all rows, and visits widen until ``recall`` of them lie in visited leaves.
+by a scan of all rows, and visits widen until ``recall`` of them lie in visited leaves. Clustered vectors
+take a few leaves in a hundred; where hardly anything is near, most of the leaves.
 
 Visits and rows meet by (leaf, block): a leaf's rows are cut into blocks of ``block_rows``, so equal
 or crowded vectors are many tasks' work. Each block returns its k best per query, exactly measured.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or
-non-finite components take no part, neither do null ids; ties go to the smaller id; rows with the
-query's id are not its candidates; a query visits leaves until they hold more than k rows, so small
+non-finite components take no part, neither do null ids; ties go to the smaller id; every row but the
+query's own is a candidate, others of its id too, and each of several query rows of one id has its list; a query visits leaves until they hold more than k rows, so small
 tables give all candidates; an empty table gives no rows; other columns are left out.
 """
 
@@ -37,8 +38,8 @@ class Settings:
     branching: int = 8
     leaf_rows: int = 256  # rows of a leaf aimed at
     max_leaves: int = 2048
-    calibration: int = 64  # queries
-    recall: float = 0.97
+    calibration: int = 256  # queries
+    recall: float = 0.94
     block_rows: int = 8192
     seed: int = 5
 
@@ -120,15 +121,15 @@ def fit_tree(sample: np.ndarray, leaves: int, settings: Settings) -> Tree:
     return Tree(np.array(centres), children, leaf)
 
 
-def nearest_of(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: int, k: int) -> list[tuple[int, float]]:
-    """The k nearest rows of one query by exact distance in double precision, ties to the smaller id."""
+def nearest_of(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: int, k: int) -> list[tuple[int, int, float]]:
+    """(row, id, distance) of the k nearest of one query by exact distance in double precision, ties to the smaller id."""
     rough = ((vectors - query) ** 2).sum(axis=1)
-    rough[ids == own] = np.inf
-    rows = np.flatnonzero(np.isfinite(rough))
-    if len(rows) > k:
-        rows = rows[rough[rows] <= np.partition(rough[rows], k - 1)[k - 1]]
-    order = np.lexsort((ids[rows], rough[rows]))[:k]
-    return [(int(ids[r]), float(np.sqrt(rough[r]))) for r in rows[order]]
+    rough[rows == own] = np.inf
+    at = np.flatnonzero(np.isfinite(rough))
+    if len(at) > k:
+        at = at[rough[at] <= np.partition(rough[at], k - 1)[k - 1]]
+    order = np.lexsort((rows[at], ids[at], rough[at]))[:k]
+    return [(int(rows[r]), int(ids[r]), float(np.sqrt(rough[r]))) for r in at[order]]
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -149,23 +150,26 @@ def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query_row").orderBy("score", "vec_id", "vec_row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def scanned(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int) -> DataFrame:
-    """The k nearest of few queries by a scan of all rows; each task returns its k best per query."""
-    schema = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, vec_row long, vec_id long, score double"
+
+
+def scanned(rows: DataFrame, queries: list[tuple[int, int, list[float]]], k: int) -> DataFrame:
+    """The k nearest of few queries (row, id, vector) by a scan of all rows; each task returns its k best per query."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ids, matrix = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
-                found = [(q, i, d) for q, v in queries for i, d in nearest_of(np.array(v), ids, matrix, q, k)]
-                columns = list(zip(*found, strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
+                at, ids, matrix = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), _matrix(batch.column(2))
+                found = [(own, i, *near) for own, i, v in queries for near in nearest_of(np.array(v), at, ids, matrix, own, k)]
+                columns = list(zip(*found, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split(" ")[0] for f in FOUND.split(", ")])
 
-    return _top(rows.select("id", "v").mapInArrow(scan, schema), k)
+    return _top(rows.select("row", "id", "v").mapInArrow(scan, FOUND), k)
 
 
 def neighbours(
@@ -174,13 +178,13 @@ def neighbours(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the nearest found of each row that ``is_query`` (SQL over ``id``)."""
     k, schema = settings.neighbours, "query_id long, rank int, vec_id long, score double"
-    rows = written(_usable(vectors, id_col, vector_col), "vectors")
+    rows = written(_usable(vectors, id_col, vector_col).select(F.monotonically_increasing_id().alias("row"), "id", "v"), "vectors")
     n = rows.count()
     if n == 0:
         return spark.createDataFrame([], schema)
     by_hash = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
     share = min(1_000_000, int(1.1e6 * settings.sample_rows / n) + 1)
-    chosen = rows.where(by_hash < share).orderBy(F.xxhash64("id"), "id").limit(settings.sample_rows)
+    chosen = rows.where(by_hash < share).orderBy(F.xxhash64("id"), "id", "row").limit(settings.sample_rows)
     sample = np.array([r["v"] for r in chosen.collect()] or [rows.first()["v"]])
     leaves = min(settings.max_leaves, parts_for(n, settings.leaf_rows), max(1, len(sample) // 4))
     tree = spark.sparkContext.broadcast(fit_tree(sample, leaves, settings))
@@ -188,10 +192,11 @@ def neighbours(
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaf = tree.value.assign(_matrix(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), batch.column(0), batch.column(1)], names=["leaf", "id", "v"])
+                leaf = tree.value.assign(_matrix(batch.column(2)))
+                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), *batch.columns], names=["leaf", "row", "id", "v"])
 
-    indexed = written(rows.mapInArrow(index, "leaf int, id long, v array<double>"), "vectors-by-leaf")
+    placed = "leaf int, row long, id long, v array<double>"
+    indexed = written(rows.mapInArrow(index, placed), "vectors-by-leaf")
     sizes = np.zeros(int(tree.value.leaf.max()) + 1, np.int64)  # bounded by the tree
     for row in indexed.groupBy("leaf").count().collect():
         sizes[row["leaf"]] = row["count"]
@@ -202,38 +207,38 @@ def neighbours(
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                walks = [tree.value.visits(q, visits, sizes, k + 1) for q in _matrix(batch.column(1))]
+                walks = [tree.value.visits(q, visits, sizes, k + 1) for q in _matrix(batch.column(2))]
                 of = np.repeat(np.arange(len(walks)), [len(w) for w in walks])
                 leaf = pa.array(np.concatenate([np.array(w, int) for w in walks]), pa.int32())
-                yield pa.RecordBatch.from_arrays([leaf, batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of))], names=["leaf", "id", "v"])
+                yield pa.RecordBatch.from_arrays([leaf, *(c.take(pa.array(of)) for c in batch.columns)], names=["leaf", "row", "id", "v"])
 
-    probes = asked.select("id", "v").mapInArrow(probe, "leaf int, id long, v array<double>")
+    probes = asked.select("row", "id", "v").mapInArrow(probe, placed)
     # a leaf of many rows is many blocks; its visitors go to each of them
     blocks = spark.createDataFrame([(i, parts_for(int(s), settings.block_rows)) for i, s in enumerate(sizes)], "leaf int, blocks int")
     probes = probes.join(F.broadcast(blocks), "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    stored = indexed.join(F.broadcast(blocks), "leaf").withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.col("blocks")).cast("int"))
+    stored = indexed.join(F.broadcast(blocks), "leaf").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+
+    parts, columns = ["leaf", "row", "id", "v"], [f.split(" ") for f in FOUND.split(", ")]
 
     def search(visitors: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(visitors) and len(own):
-            ids, matrix = own["id"].to_numpy(), _matrix(own["v"])
-            for query, vector in zip(visitors["id"].tolist(), _matrix(visitors["v"]), strict=True):
-                found.extend((query, i, d) for i, d in nearest_of(vector, ids, matrix, query, k))
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            at, ids, matrix = own["row"].to_numpy(), own["id"].to_numpy(), _matrix(own["v"])
+            for row, query, vector in zip(visitors["row"].tolist(), visitors["id"].tolist(), _matrix(visitors["v"]), strict=True):
+                found.extend((row, query, *near) for near in nearest_of(vector, at, ids, matrix, row, k))
+        return pd.DataFrame(found, columns=[c for c, _ in columns]).astype({c: "float64" if t == "double" else "int64" for c, t in columns})
 
-    met = probes.select("leaf", "block", "id", "v").groupBy("leaf", "block").cogroup(stored.select("leaf", "block", "id", "v").groupBy("leaf", "block"))
-    found = met.applyInPandas(search, "query_id long, vec_id long, score double")
-    return _top(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    met = probes.select("block", *parts).groupBy("leaf", "block").cogroup(stored.select("block", *parts).groupBy("leaf", "block"))
+    return _top(met.applyInPandas(search, FOUND), k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def _calibrated(indexed: DataFrame, asked: DataFrame, tree: Tree, sizes: np.ndarray, settings: Settings) -> int:
     """Leaf visits that reach the recall on the first queries by hash."""
-    chosen = [(r["id"], r["v"]) for r in asked.orderBy(F.xxhash64("id"), "id").limit(settings.calibration).collect()]
+    chosen = [(r["row"], r["id"], r["v"]) for r in asked.orderBy(F.xxhash64("id"), "id", "row").limit(settings.calibration).collect()]
     if not chosen:
         return 1
-    truth = scanned(indexed, chosen, settings.neighbours).join(indexed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id")
-    places: list[int] = []
-    orders = {q: {leaf: i for i, leaf in enumerate(tree.visits(np.array(v), len(sizes), sizes, 0))} for q, v in chosen}
-    for row in truth.select("query_id", "leaf").collect():  # at most k for each calibration query and repeated id
-        places.append(orders[row["query_id"]][row["leaf"]])
+    truth = scanned(indexed, chosen, settings.neighbours).join(indexed.select(F.col("row").alias("vec_row"), "leaf"), "vec_row")
+    orders = {own: {leaf: i for i, leaf in enumerate(tree.visits(np.array(v), len(sizes), sizes, 0))} for own, _, v in chosen}
+    # at most k places for each calibration query
+    places = [orders[r["query_row"]][r["leaf"]] for r in truth.select("query_row", "leaf").collect()]
     return int(np.quantile(places, settings.recall, method="higher")) + 1 if places else 1

@@ -66,3 +66,37 @@ def test_a_third_of_all_rows_equal(spark, table):
     want = exact(rows, lambda i: i % 150 == 0)
     assert [i for i, _ in got[0]] == [i for i, _ in want[0]] == list(range(3, 33, 3))
     assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 10 * len(want)
+
+
+def test_rows_that_share_an_id_are_candidates(spark, table):
+    """Two query rows of one id are each other's candidates, and each has its own list."""
+    rows = [(0, [1.0, 0.0]), (0, [1.1, 0.0]), (0, [9.0, 9.0]), (1, [1.0, 0.1])]
+    got = neighbours(spark, table(rows), "id = 0").collect()
+    lists = sorted((r.rank, r.vec_id, round(r.score, 6)) for r in got)
+    want = []
+    for own, (i, v) in enumerate(rows):
+        if i == 0:
+            near = sorted((float(np.hypot(*(np.array(v, np.float32).astype(float) - np.array(w, np.float32)))), j) for at, (j, w) in enumerate(rows) if at != own)
+            want.extend((rank, j, round(d, 6)) for rank, (d, j) in enumerate(near, 1))
+    assert {r.query_id for r in got} == {0} and lists == sorted(want)
+
+
+def test_clustered_vectors_take_a_part_of_the_leaves(spark, table, monkeypatch):
+    """Calibration stops well under a quarter of the leaves where vectors lie in clusters, with the recall kept."""
+    from tablesync.llm import kmeans_tree
+
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(40, 24))
+    rows = [(i, (centres[i % 40] + 0.2 * r.normal(size=24)).tolist()) for i in range(4000)]
+    seen, inner = [], kmeans_tree._calibrated
+
+    def noted(indexed, asked, tree, sizes, settings):
+        seen.append((inner(indexed, asked, tree, sizes, settings), len(sizes)))
+        return seen[-1][0]
+
+    monkeypatch.setattr(kmeans_tree, "_calibrated", noted)
+    got = found(neighbours(spark, table(rows), "id % 20 = 0", settings=Settings(leaf_rows=64)))
+    want = exact(rows, lambda i: i % 20 == 0)
+    ((visits, leaves),) = seen
+    assert leaves > 30 and visits < leaves / 4
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 10 * len(want)
