@@ -199,3 +199,23 @@ def run_log_stale(spark, sf_dir):
     for row in table(spark, sf_dir, "nation").select("n_name", "n_nationkey").collect():
         log.record("p", row["n_name"], "loading", now=datetime(2024, 3, 8) if row["n_nationkey"] % 2 == 0 else now)
     return log.stale_runs(now).select("pipeline", "table_name", "status")
+
+
+_BY_USER = """
+with e as (select user_id, event_id, ts, event_type, case when event_id % 3 = 0 then event_id::varchar end as point from events)
+select 'p' as pipeline, user_id::varchar as table_name, arg_max(event_type, event_id) as status,
+    arg_max(point, event_id) filter (point is not null) as last_point, max(event_id) as seq from e group by user_id"""
+
+
+@query("run_state_by_user", _BY_USER)
+def run_state_by_user(spark, sf_dir):
+    """States of as many tables as there are users, kept while their events are packed in four batches out of order."""
+    log = RunLog(spark, new_path(spark, "run-log"))
+    point = F.when(F.col("event_id") % 3 == 0, F.col("event_id").cast("string"))
+    events = table(spark, sf_dir, "events").select(
+        F.lit("p").alias("pipeline"), F.col("user_id").cast("string").alias("table_name"), point.alias("last_point"),
+        F.lit("int").alias("value_type"), F.lit("incremental").alias("replication_method"), F.col("event_type").alias("status"),
+        F.lit("").alias("error_message"), F.col("ts").alias("updated_time"), F.col("event_id").alias("seq"))
+    for batch in (2, 0, 3, 1):
+        log.take_over(events.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == batch))
+    return log.latest().select("pipeline", "table_name", "status", "last_point", "seq")
