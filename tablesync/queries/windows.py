@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablesync.connections import Files
 from tablesync.functions.window import in_window, slice_bounds, window_for
 from tablesync.queries.registry import query, table
-from tablesync.sources.frames import frame_slice
+from tablesync.sources.frames import FileSource, frame_slice
 from tablesync.spec import Slice, TableSpec
 
 # Orders with a creation and a later update time.
@@ -215,7 +215,22 @@ def custom_query_incremental(spark, sf_dir):
 
 @query("partition_bounds", "select min(l_orderkey) as lo, max(l_orderkey) as hi from lineitem")
 def partition_bounds(spark, sf_dir):
-    return slice_bounds(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+    return FileSource(sf_dir).bounds(spark, "lineitem.parquet", ["l_orderkey"])
+
+
+@query(
+    "incremental_file_marks",
+    "select o_orderkey, o_custkey, 'first' as run from orders union all select o_orderkey, o_custkey, 'second' from orders "
+    "where greatest(o_orderkey, o_custkey) >= (select max(greatest(o_orderkey, o_custkey)) from orders)",
+)
+def incremental_file_marks(spark, sf_dir):
+    """Whole-number marks of a file table come from its footers, in a first run and in a later one."""
+    source = FileSource(sf_dir)
+    spec = TableSpec("orders.parquet", "orders", "incremental", ["o_orderkey", "o_custkey"], "int")
+    first = source.extract(spark, spec)
+    second = source.extract(spark, spec, first.high_water)
+    rows = [s.df.select("o_orderkey", "o_custkey", F.lit(run).alias("run")) for s, run in ((first, "first"), (second, "second"))]
+    return rows[0].unionByName(rows[1])
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
 
@@ -13,17 +13,21 @@ from tablesync.functions.window import (
     Window, comparable, format_point, in_window, parse_point, require_kind, slice_bounds, spark_render,
     window_for,
 )
+from tablesync.sources.footers import footer_bounds, newest_by_footers
 from tablesync.spec import Slice, TableSpec
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
-def frame_slice(df: DataFrame, spec: TableSpec, last_point: str | None = None) -> Slice:
-    """The rows of ``df`` that ``spec`` asks for, given the stored last point."""
+def frame_slice(
+    df: DataFrame, spec: TableSpec, last_point: str | None = None, newest: Callable[[Window], DataFrame | None] = lambda _: None,
+) -> Slice:
+    """The rows of ``df`` that ``spec`` asks for, given the stored last point. ``newest`` may know the
+    greatest iterate value of a window without reading rows."""
     if spec.replication_method == "full":
         return Slice(df, "overwrite")
     window = window_for(spec, last_point)
-    return _incremental(df, window, lambda high: in_window(df, window, high))
+    return _incremental(df, window, lambda high: in_window(df, window, high), newest)
 
 
 def query_slice(
@@ -45,15 +49,18 @@ def query_slice(
 
 def _incremental(
     whole: DataFrame, window: Window, rows_until: Callable[[object], DataFrame],
+    newest: Callable[[Window], DataFrame | None] = lambda _: None,
 ) -> Slice:
-    """One pass over the iterate columns fixes the snapshot; the rows follow lazily.
+    """One pass over the iterate columns, or their footers, fixes the snapshot; the rows follow lazily.
 
     Bounds come back as text, because a timestamp handed to Python would be
     shifted to the driver's zone. A moment comes back as microseconds since 1970,
     which no time zone and no end of summer time changes.
     """
     require_kind(whole, window)
-    bounds = slice_bounds(rows_until(None), window.exprs, window.kind)
+    bounds = newest(window)
+    if bounds is None:
+        bounds = slice_bounds(rows_until(None), window.exprs, window.kind)
     zoned = isinstance(bounds.schema["hi"].dataType, T.TimestampType)
     found = bounds.select((F.unix_micros("hi") if zoned else F.col("hi").cast("string")).alias("hi")).first()
     if found["hi"] is None:
@@ -83,7 +90,24 @@ class FileSource:
         reader = spark.read.format(self.format).options(**self.options)
         if name in self.schemas:
             reader = reader.schema(self.schemas[name])
-        return reader.load(f"{self.path.rstrip('/')}/{name}")
+        return reader.load(self._path(name))
+
+    def _path(self, name: str) -> str:
+        return f"{self.path.rstrip('/')}/{name}"
+
+    def bounds(self, spark: SparkSession, name: str, columns: Sequence[str], kind: str = "int") -> DataFrame:
+        """One row (lo, hi) of a table's columns, from file footers where they hold it."""
+        rows = self.frame(spark, name)
+        pushed = footer_bounds(spark, self.format, self.options, self._path(name), rows.schema, columns)
+        return slice_bounds(rows, columns, kind) if pushed is None else pushed
+
+    def _newest(self, rows: DataFrame, name: str, window: Window) -> DataFrame | None:
+        if window.upper is not None:
+            return None
+        bounds = footer_bounds(rows.sparkSession, self.format, self.options, self._path(name), rows.schema, window.exprs)
+        if bounds is None or window.lower is None:
+            return newest_by_footers(bounds, None)
+        return newest_by_footers(bounds, f"hi >= {spark_render(bounds)('hi', window.lower)}")
 
     def extract(
         self, spark: SparkSession, spec: TableSpec, last_point: str | None = None,
@@ -91,7 +115,8 @@ class FileSource:
     ) -> Slice:
         query = query_text(spec, base_dir)
         if query is None:
-            return frame_slice(self.frame(spark, spec.name), spec, last_point)
+            rows = self.frame(spark, spec.name)
+            return frame_slice(rows, spec, last_point, lambda window: self._newest(rows, spec.name, window))
         for view, name in self.views.items():
             self.frame(spark, name).createOrReplaceTempView(view)
         return query_slice(spark, spec, query, last_point)
