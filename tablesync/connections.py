@@ -14,7 +14,7 @@ from tablesync.errors import ConfigError
 from tablesync.sources.frames import FileSource, TableSource
 from tablesync.sources.jdbc import JdbcConnection, JdbcSource
 from tablesync.spec import TableSpec
-from tablesync.targets import FileLogTarget, FileTarget, JdbcTarget, Layout, TableTarget
+from tablesync.targets import BucketedTarget, FileLogTarget, FileTarget, JdbcTarget, Layout, TableTarget
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,10 @@ class Files(FileSource):
         if spec.upsert_unit != "slots":
             if self.format != "parquet":
                 raise ConfigError(f"{spec.name}: upsert_unit {spec.upsert_unit} needs parquet files")
+            if spec.upsert_unit == "buckets":
+                return BucketedTarget(
+                    spark, f"{self.path.rstrip('/')}/{spec.target_name}", key=key, buckets=spec.key_buckets,
+                    options={**self.options, **self.write_options}, schema_evolution=spec.schema_evolution)
             return FileLogTarget(
                 spark, f"{self.path.rstrip('/')}/{spec.target_name}", key=key, upsert={"files": "rewrite", "marks": "mark"}[spec.upsert_unit],
                 schema_evolution=spec.schema_evolution, write_partitions=spec.write_partitions)

@@ -9,7 +9,7 @@ from tablesync.plans.strategy import resolve_strategy
 from tablesync.queries.registry import query, table
 from tablesync.session import new_path
 from tablesync.spec import Settings, TableSpec
-from tablesync.targets import FileLogTarget
+from tablesync.targets import BucketedTarget, FileLogTarget
 
 
 def _orders(spark, sf_dir):
@@ -111,3 +111,26 @@ def strategy_resolution(spark, sf_dir):
     part = lambda over, of: F.floor(F.col("o_orderkey") / over).cast("long") % of
     orders = table(spark, sf_dir, "orders").select("o_orderkey", part(1, 5).alias("s"), part(5, 2).alias("f"), part(10, 3).alias("o"), part(30, 2).alias("c"))
     return orders.join(F.broadcast(known), ["s", "f", "o", "c"]).select("o_orderkey", "strategy", "if_exists")
+
+
+@query(
+    "upsert_co_bucketed",
+    """select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then -1 else o_totalprice::double end as o_totalprice from orders
+union all select -o_orderkey - 1, o_custkey, -2 from orders where o_orderkey % 2 = 0
+union all select null, o_custkey, o_totalprice::double from orders where o_orderkey % 10 = 0
+union all select null, o_custkey, -3 from orders where o_orderkey % 20 = 0""",
+)
+def upsert_co_bucketed(spark, sf_dir):
+    """A batch as large as the table, into buckets that are joined where they lie; NULL keys are only added."""
+    orders = _orders(spark, sf_dir)
+    lacking = F.lit(None).cast(orders.schema["o_orderkey"].dataType)
+    target = BucketedTarget(spark, new_path(spark, "bucketed"), key=["o_orderkey"], buckets=8)
+    target.replace(orders.where("o_orderkey % 3 > 0").unionByName(orders.where("o_orderkey % 10 = 0").withColumn("o_orderkey", lacking)))
+    target.append(orders.where("o_orderkey % 3 = 0"))
+    changed = orders.where("o_orderkey % 2 = 0")
+    target.upsert(
+        changed.withColumn("o_totalprice", F.lit(-1.0))
+        .unionByName(changed.withColumn("o_orderkey", -F.col("o_orderkey") - 1).withColumn("o_totalprice", F.lit(-2.0)))
+        .unionByName(orders.where("o_orderkey % 20 = 0").withColumn("o_orderkey", lacking).withColumn("o_totalprice", F.lit(-3.0))),
+        ["o_orderkey"])
+    return target.read()

@@ -19,7 +19,7 @@ IF_EXISTS = ("replace", "append")
 COLUMN_CASES = ("lower", "upper", "as_is")
 DUPLICATE_POLICIES = ("error", "latest")
 SCHEMA_EVOLUTIONS = ("merge", "strict")
-UPSERT_UNITS = ("slots", "files", "marks")
+UPSERT_UNITS = ("slots", "files", "marks", "buckets")
 
 
 def _one_of(option: str, value: Any, allowed: Sequence[str], optional: bool = False) -> None:
@@ -80,8 +80,10 @@ class TableSpec:
         _one_of("duplicate_keys", self.duplicate_keys, DUPLICATE_POLICIES)
         _one_of("schema_evolution", self.schema_evolution, SCHEMA_EVOLUTIONS)
         _one_of("upsert_unit", self.upsert_unit, UPSERT_UNITS)
-        if self.upsert_unit != "slots" and (self.partition_by or self.cluster_by or self.sort_by or self.key_buckets):
+        if self.upsert_unit != "slots" and (self.partition_by or self.cluster_by or self.sort_by or (self.key_buckets and self.upsert_unit != "buckets")):
             raise ConfigError(f"{self.name}: upsert_unit {self.upsert_unit} takes no other layout")
+        if self.upsert_unit == "buckets" and not (self.key_buckets and self.write_key):
+            raise ConfigError(f"{self.name}: upsert_unit buckets needs key_buckets and write_key")
         if self.replication_method == "incremental":
             if not self.iterate_columns:
                 raise ConfigError(f"{self.name}: incremental replication needs iterate_column")

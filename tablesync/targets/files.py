@@ -65,6 +65,7 @@ class Layout:
     cluster_by: tuple[str, ...] = ()
     key_buckets: int = 0
     key: tuple[str, ...] = ()
+    co_bucketed: bool = False  # the buckets are Spark's own, and written by ``BucketedTarget`` only
 
     def __post_init__(self) -> None:
         if self.key_buckets and (self.partition_by or not self.key):
@@ -370,6 +371,8 @@ class FileTarget:
         self._publish(whole, written, batch)
 
     def _write(self, storage: Storage, df: DataFrame, layout: Layout) -> _Written:
+        if layout.co_bucketed:
+            raise ConfigError(f"{self.storage.root}: a bucketed table is written with upsert_unit='buckets'")
         version = "v" + uuid.uuid4().hex
         folder = f"{VERSION}={version}"
         rows = self._arranged(df, layout)
