@@ -28,14 +28,17 @@ KEYED, UNKEYED = "_rows=keyed", "_rows=unkeyed"
 
 
 class BucketedTarget(FileTarget):
-    """Upserts by ``key`` read and write each bucket where it lies; with another key they are refused."""
+    """Upserts by ``key`` read and write each bucket where it lies; with another key they are refused.
+
+    A bucket is one task's work, so this suits keys that are unique: a table that appends gave many rows of
+    one key is better kept in slots."""
 
     def __init__(
         self, spark: SparkSession, path: str, *, key: Sequence[str], buckets: int, format: str = "parquet",
         options: Mapping[str, str] | None = None, schema_evolution: str = "merge",
     ):
-        if buckets < 1 or not key:
-            raise ConfigError("buckets need a number and a write key")
+        if buckets < 1 or not key or format not in ("parquet", "orc"):
+            raise ConfigError("buckets need a number, a write key, and files of parquet or orc")
         layout = Layout(key_buckets=buckets, key=tuple(key), co_bucketed=True)
         super().__init__(spark, path, format=format, options=options, layout=layout, schema_evolution=schema_evolution)
 

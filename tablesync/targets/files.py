@@ -53,6 +53,8 @@ FORMAT_OPTIONS = {
         "nullValue": "\u0001",  # else the empty string would come back as NULL
     },
 }
+# A CSV text of nothing but that character is written with one more, so that none can equal the marker.
+_MARKERS, _LONGER = "^\u0001+$", "^\u0001\u0001+$"
 _publishing = threading.Lock()
 
 
@@ -187,7 +189,21 @@ class FileTarget:
     ) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self._open(storage, folders, schema).select(*map(quoted, schema.names))
+        return self._open(storage, folders, schema).select(*[self._unmarked(f).alias(f.name) for f in schema])
+
+    def _unmarked(self, field: T.StructField) -> Column:
+        """A stored column as its value."""
+        value = quoted(field.name)
+        if self.format != "csv" or not isinstance(field.dataType, T.StringType):
+            return value
+        return F.when(value.rlike(_LONGER), F.substr(value, F.lit(2))).otherwise(value)
+
+    def _marked(self, df: DataFrame) -> DataFrame:
+        """Rows as they are stored."""
+        if self.format != "csv":
+            return df
+        texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        return df.withColumns({c: F.when(quoted(c).rlike(_MARKERS), F.concat(F.lit("\u0001"), quoted(c))).otherwise(quoted(c)) for c in texts})
 
     def _open(
         self, storage: Storage, folders: Sequence[tuple[str, str]], schema: T.StructType,
@@ -375,7 +391,7 @@ class FileTarget:
             raise ConfigError(f"{self.storage.root}: a bucketed table is written with upsert_unit='buckets'")
         version = "v" + uuid.uuid4().hex
         folder = f"{VERSION}={version}"
-        rows = self._arranged(df, layout)
+        rows = self._arranged(self._marked(df), layout)
         texts = [c for c in layout.partition_by if isinstance(df.schema[c].dataType, T.StringType)]
         seen = Observation()
         if texts:
@@ -465,7 +481,8 @@ class FileTarget:
         # The file path is URL-encoded, with "+" standing for itself.
         path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
         slot = F.regexp_extract(path, f"/{VERSION}=[^/]+/(.*)/[^/]+$", 1).alias("__slot")
-        held = self._open(self.storage, self._live(snap, snap.slots), snap.schema).select(*names, slot)
+        keys = [self._unmarked(snap.schema[k]).alias(k) for k in resolve_columns(key, snap.schema.names)]
+        held = self._open(self.storage, self._live(snap, snap.slots), snap.schema).select(*keys, slot)
         new_keys = staged.rows.where(~any_null(key)).select(*names)
         matched = held.join(join_side(new_keys, self._fits(staged.key_bytes)), key, "left_semi")
         return {row["__slot"] for row in matched.select("__slot").distinct().collect()}

@@ -406,3 +406,15 @@ def test_clustering_cuts_through_a_hot_value(spark, tmp_path, setting):
     t.replace(spark.range(0, 40_000, 1, 8).select("id", F.lit("F").alias("flag")))
     sizes = [r["n"] for r in t.read().groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 40_000 and len(sizes) > 1 and max(sizes) <= 20_000
+
+
+def test_no_csv_text_equals_the_marker_of_null(spark, tmp_path, rows):
+    """Texts of the marker's character come back, as values, as keys and as names of folders."""
+    held = [("\u0001", 1, "\u0001"), ("\u0001\u0001", 2, "p"), ("", 3, "p"), (None, 4, "\u0001"), ("a\u0001", 5, "p"), ("\u0001a", 6, "q")]
+    for layout in (Layout(), Layout(partition_by=("p",)), Layout(key_buckets=2, key=("k",))):
+        target = FileTarget(spark, str(tmp_path / f"t{layout.key_buckets}{len(layout.partition_by)}"), format="csv", layout=layout)
+        target.append(spark.createDataFrame(held, "k string, n int, p string"))
+        assert rows(target.read()) == sorted(held, key=repr)
+        target.upsert(spark.createDataFrame([("\u0001", 7, "p"), ("\u0001\u0001\u0001", 8, "p")], "k string, n int, p string"), ["k"])
+        want = [r for r in held if r[0] != "\u0001"] + [("\u0001", 7, "p"), ("\u0001\u0001\u0001", 8, "p")]
+        assert rows(target.read()) == sorted(want, key=repr)
