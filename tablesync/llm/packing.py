@@ -65,10 +65,12 @@ class WordMemo(dict):
     """Ids of texts, each distinct word encoded once.
 
     The tokenizer lower-cases, drops white space and never joins across it, so a text has the ids of
-    its words. Words of Latin-1 texts are looked up here; other texts, and words with control
-    characters, go to the tokenizer whole. Emptied when it holds ``limit`` words."""
+    its words, and a word those of the parts it is split into, which are words as well. Words of
+    Latin-1 texts are looked up here; other texts, and words with control characters, go to the
+    tokenizer whole. Emptied when it holds ``limit`` words, of some 150 bytes each: a Python worker
+    keeps it from task to task, also while later stages run."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 400_000):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -78,23 +80,22 @@ class WordMemo(dict):
 
     def empty(self) -> None:
         self.clear()
-        self.parts: dict[bytes, list[int]] = {}
         self.flat = array("I")  # ids of all words, one after another
         self.starts, self.lengths = array("q"), array("q")
 
-    def _part(self, part: bytes) -> list[int]:
-        found = self.parts.get(part)
-        if found is None:
-            letters = part.decode() if part.isascii() else "".join([self.letters[b] for b in part.decode("latin-1").encode()])
-            found = self.parts[part] = [t.id for t in self.model.tokenize(letters)]
-        return found
-
     def __missing__(self, word: bytes) -> int:
         """Row of a word's ids; called for words not seen yet."""
         if _ODD.search(word):
-            ids = self.tokenizer.encode(word.decode("latin-1"), add_special_tokens=False).ids
+            ids = array("I", self.tokenizer.encode(word.decode("latin-1"), add_special_tokens=False).ids)
         else:
-            ids = [i for part in _SPLIT.findall(word) for i in self._part(part)]
+            parts = _SPLIT.findall(word)
+            if len(parts) == 1:
+                letters = word.decode() if word.isascii() else "".join([self.letters[b] for b in word.decode("latin-1").encode()])
+                ids = array("I", [t.id for t in self.model.tokenize(letters)])
+            else:
+                ids = array("I")
+                for row in [self[part] for part in parts]:
+                    ids += self.flat[self.starts[row] : self.starts[row] + self.lengths[row]]
         self[word] = row = len(self)
         self.starts.append(len(self.flat))
         self.lengths.append(len(ids))

@@ -1,3 +1,5 @@
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -30,6 +32,20 @@ def test_memo_gives_the_tokenizers_ids(tokenizer, prose, limit):
         assert [[*x, 1] for x in got] == [ids_of(tokenizer, t) for t in texts]
 
 
+def test_a_full_memo_takes_little_memory():
+    """Python workers keep it, two or more on an executor, beside what other stages leave."""
+    memo, r = WordMemo(default_tokenizer()), random.Random(3)
+    words = ["".join(r.choices("abcdefghijklmnop", k=9)) + "," for _ in range(20_000)]
+    tracemalloc.start()
+    try:
+        for _ in memo.encode([" ".join(words)]):
+            pass
+        held = tracemalloc.get_traced_memory()[0] / len(memo)
+    finally:
+        tracemalloc.stop()
+    assert held * memo.limit < 100 << 20
+
+
 def check(rows, most):
     by_sequence = {}
     for r in rows:
