@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.errors import ConfigError
 from tablesync.functions.schema import fitted, merged_schema
+from tablesync.session import narrowed
 
 
 _overwriting = threading.Lock()
@@ -39,7 +40,7 @@ class TableTarget:
         return self.spark.table(self.name)
 
     def _narrowed(self, df: DataFrame) -> DataFrame:
-        return df.coalesce(self.write_partitions) if self.write_partitions else df
+        return narrowed(df, self.write_partitions) if self.write_partitions else df
 
     def _fitted(self, df: DataFrame) -> DataFrame:
         schema = self.read().schema

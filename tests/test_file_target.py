@@ -418,3 +418,21 @@ def test_no_csv_text_equals_the_marker_of_null(spark, tmp_path, rows):
         target.upsert(spark.createDataFrame([("\u0001", 7, "p"), ("\u0001\u0001\u0001", 8, "p")], "k string, n int, p string"), ["k"])
         want = [r for r in held if r[0] != "\u0001"] + [("\u0001", 7, "p"), ("\u0001\u0001\u0001", 8, "p")]
         assert rows(target.read()) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("layout", [Layout(), Layout(sort_by=("k",))])
+def test_write_partitions_give_no_task_more_the_larger_the_table(spark, setting, target, tmp_path, layout):
+    """Two files while these are small, and as many as it takes when they are not."""
+    for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"):
+        setting(f"spark.sql.adaptive.{name}", "64k")
+    setting("spark.sql.files.maxPartitionBytes", "100k")
+    largest = []
+    for n in (1_000, 20_000, 80_000):
+        spark.range(0, n, 1, 4).selectExpr("id as k", "uuid() as v").write.parquet(str(tmp_path / f"from{n}"))
+        t = target(f"t{n}", layout=layout, write_partitions=2)
+        t.replace(spark.read.parquet(str(tmp_path / f"from{n}")))
+        sizes = [r["count"] for r in t.read().groupBy(F.input_file_name()).count().collect()]
+        assert sum(sizes) == n and t.read().select("k").distinct().count() == n
+        assert len(sizes) == 2 or n > 1_000
+        largest.append(max(sizes))
+    assert largest[2] < 1.5 * largest[1] < 20_000
