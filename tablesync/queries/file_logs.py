@@ -55,7 +55,7 @@ def append_log_packed(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     target = FileLogTarget(spark, new_path(spark, "append-log"), key=["event_id"])
     for part in range(24):
-        target.append(events.where(F.pmod("event_id", F.lit(24)) == part).coalesce(1))
+        target.append(events.where(F.pmod("event_id", F.lit(24)) == part).hint("rebalance"))
     target.pack()
     return target.read()
 

@@ -37,13 +37,15 @@ from tablesync.functions.curve import within, z_place
 from tablesync.functions.schema import fitted, merged_schema, require_free_names, shared_columns
 from tablesync.operators.dedup import any_null, key_violations, latest_per_key
 from tablesync.operators.merge import join_side, memory_bytes, merge_columns, upsert_rows
-from tablesync.session import broadcast_limit, configured_shared_dir
+from tablesync.session import broadcast_limit, configured_shared_dir, narrowed
 from tablesync.targets.storage import Storage
 
 _FILE, _POS = "__file", "__pos"
 _BITS = 32768  # of one bitmap, which is what Spark's bitmap functions make
 #: Keys of a batch up to which Bloom filters are asked; of more, chance would find some in every file.
 BLOOM_KEYS = 4096
+#: Bytes of rows, as a task that packs holds them to sort them (some 24 a column), up to which files are joined.
+TASK_MEMORY = 256 << 20
 #: Intervals that sum up where a batch's keys lie.
 _RANGES = 64
 _publishing = threading.Lock()
@@ -63,6 +65,7 @@ class LiveFile:
     name: str
     marks: tuple[str, ...] = ()
     size: int = field(default=0, compare=False)
+    rows: int = field(default=0, compare=False)
 
 
 class FileLogTarget:
@@ -126,8 +129,8 @@ class FileLogTarget:
 
     def files(self, state: LogState | None = None, which: DataFrame | None = None) -> list[LiveFile]:
         state = state or self.state()
-        found = which if which is not None else self.entries(state, "marks", "bytes")
-        return [LiveFile(r["file"], tuple(r["marks"] or ()), r["bytes"]) for r in found.select("file", "marks", "bytes").collect()]
+        found = which if which is not None else self.entries(state, "marks", "bytes", "rows")
+        return [LiveFile(r["file"], tuple(r["marks"] or ()), r["bytes"], r["rows"]) for r in found.select("file", "marks", "bytes", "rows").collect()]
 
     def read(self, between: dict[str, tuple] | None = None) -> DataFrame:
         """The rows; with ``between`` (column: (lowest, highest), None open) those inside, and only files
@@ -251,16 +254,18 @@ class FileLogTarget:
 
     def pack(self, file_bytes: int | None = None) -> int:
         """Joins small files, and files with marked rows, into full ones; returns how many were replaced.
+        A file is full by its bytes, or by ``TASK_MEMORY`` of rows, which a task sorts.
 
         Appends meanwhile stay; if another writer replaced or marked one of these files, nothing happens
         and ``ConcurrentWriteError`` is raised."""
         size = file_bytes or self.file_bytes
         state = self.state()
         live = self.files(state)
-        chosen = [f for f in live if f.marks or f.size < size // 2]
+        most = max(2, TASK_MEMORY // (24 * (1 + len(state.schema))))
+        chosen = [f for f in live if f.marks or (f.size < size // 2 and f.rows < most // 2)]
         if not any(f.marks for f in chosen) and len(chosen) < 2:
             return 0
-        into = max(1, -(-sum(f.size for f in chosen) // size))
+        into = max(1, -(-sum(f.size for f in chosen) // size), -(-sum(f.rows for f in chosen) // most))
         rows = self._rows(state.schema, chosen)
         ordered = rows.repartitionByRange(into, *map(quoted, state.key)).sortWithinPartitions(*map(quoted, state.key)) if state.key else rows.coalesce(into)
         token = self._write(ordered, arranged=False)
@@ -316,7 +321,7 @@ class FileLogTarget:
         token = uuid.uuid4().hex
         key = [quoted(k) for k in self.key if k in df.columns]
         if self.write_partitions and arranged:
-            df = df.coalesce(self.write_partitions)
+            df = narrowed(df, self.write_partitions)
         if self.z_order and arranged and key:
             place = z_place(df, [k for k in self.key if k in df.columns])
             df = df.withColumn("_salt", place).repartitionByRange(self.z_order, "_salt").sortWithinPartitions("_salt").drop("_salt")

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.errors import ConcurrentWriteError, DuplicateKeyError, LoadError
+from tablesync.queries import QUERIES
+from tablesync.targets import file_log
 from tablesync.targets.file_log import FileLogTarget
 
 
@@ -155,3 +157,35 @@ def test_keys_of_two_columns_and_text(spark, tmp_path):
     assert got == {(a, b): n for a, b, n in rows} | {("k0", 0): -1, ("k0", 1): -2, ("zz", 5): -3}
     table.upsert(spark.createDataFrame([("k9", 7, 0)], "a string, b long, n long"), ["b"])  # another key than the indexed one
     assert {r.n for r in table.read().where("b = 7").collect()} == {0}
+
+
+def test_packing_sorts_a_bounded_number_of_rows_in_a_task(spark, tmp_path, monkeypatch):
+    """Many rows in few bytes: files are full by their rows, and full ones stay."""
+    monkeypatch.setattr(file_log, "TASK_MEMORY", 24 * 4 * 1000)  # 1,000 rows of three columns
+    table = target(spark, tmp_path)
+    for k in range(8):
+        table.append(base(spark, 400, 1).withColumn("id", F.col("id") * 8 + k))
+    table.pack()
+    assert len(table.files()) == 4 and max(f.rows for f in table.files()) < 1200
+    assert table.pack() == 0 and sorted(held(table)) == list(range(3200))
+
+
+def test_appends_of_the_packed_log_are_not_one_tasks_work(spark, setting, tmp_path):
+    """An append reads the events and writes its part of them in as many tasks as these make."""
+    spark.range(0, 60_000, 1, 6).selectExpr("id as event_id", "id % 7 as user_id", "uuid() as event_type").write.parquet(str(tmp_path / "events.parquet"))
+    setting("spark.sql.files.maxPartitionBytes", "100k")
+    for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"):
+        setting(f"spark.sql.adaptive.{name}", "16k")
+    sizes = []
+    write = FileLogTarget._write
+
+    def noted(self, df, arranged=True):
+        token = write(self, df, arranged)
+        sizes.append(spark.read.parquet(self.storage.full(f"data/{token}")).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0])
+        return token
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(FileLogTarget, "_write", noted)
+        result = QUERIES["append_log_packed"](spark, str(tmp_path))
+    assert len(sizes) == 25 and max(sizes[:24]) < 2_000
+    assert result.select("event_id").distinct().count() == result.count() == 60_000
