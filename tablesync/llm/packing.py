@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.llm.common import parts_for, written
+from tablesync.llm.common import parts_for, tidied, written
 
 
 @dataclass(frozen=True)
@@ -67,8 +67,7 @@ class WordMemo(dict):
     The tokenizer lower-cases, drops white space and never joins across it, so a text has the ids of
     its words, and a word those of the parts it is split into, which are words as well. Words of
     Latin-1 texts are looked up here; other texts, and words with control characters, go to the
-    tokenizer whole. Emptied when it holds ``limit`` words, of some 150 bytes each: a Python worker
-    keeps it from task to task, also while later stages run."""
+    tokenizer whole. Emptied when it holds ``limit`` words, of some 150 bytes each, and after each task."""
 
     def __init__(self, path: str, limit: int = 400_000):
         super().__init__()
@@ -133,6 +132,12 @@ def _memo(path: str) -> WordMemo:
     return _memos[path]
 
 
+def forget_words() -> None:
+    """The tokenizers stay."""
+    for memo in _memos.values():
+        memo.empty()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -172,7 +177,7 @@ def token_pieces(
                     [part.column(0).take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(encode, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidied(encode, forget_words), schema)
 
 
 def best_fit(lengths: np.ndarray, capacity: Capacity, rule: Rule) -> tuple[np.ndarray, np.ndarray]:

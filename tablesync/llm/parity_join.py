@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import released, written
+from tablesync.llm.common import released, tidied, written
 from tablesync.llm.components import components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -106,7 +106,11 @@ class _Words(dict):
         return found
 
 
-_words = _Words()  # one per Python worker
+_words = _Words()  # one per Python worker, emptied after each task
+
+
+def forget_words() -> None:
+    _words.clear()
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -191,7 +195,7 @@ def _sets(docs: DataFrame, rule: Likeness, id_col: str, text_col: str) -> DataFr
                      pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "s1", "s2", "keys"])
 
     schema = "id long, n long, s1 long, s2 long, keys array<long>"
-    return written(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(measure, schema), "shingle-sets")
+    return written(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidied(measure, forget_words), schema), "shingle-sets")
 
 
 def _shared_keys(sets: DataFrame, parts: int) -> DataFrame:
@@ -249,7 +253,7 @@ def _involved(docs: DataFrame, ids: DataFrame, rule: Likeness, id_col: str, text
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "s1", "s2", "n", "sketch", "hashes"])
 
     schema = "id long, s1 long, s2 long, n long, sketch binary, hashes binary"
-    return texts.select("id", "text").mapInArrow(measure, schema).dropDuplicates(["id", "s1", "s2"])
+    return texts.select("id", "text").mapInArrow(tidied(measure, forget_words), schema).dropDuplicates(["id", "s1", "s2"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Likeness) -> DataFrame:

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.llm.common import tidied
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
 BLOCK = 2048  # tokens whose segments are held at once
@@ -475,7 +477,7 @@ def _snippets(docs: DataFrame, text_col: str, s: Settings) -> list[tuple[str, st
             columns = list(zip(*rows, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns[:3]], pa.array(columns[3], pa.int32())], names=["l", "own", "r", "kind"])
 
-    found = docs.select(text_col).mapInArrow(cut, "l string, own string, r string, kind int")
+    found = docs.select(text_col).mapInArrow(tidied(cut), "l string, own string, r string, kind int")
     once = found.groupBy("own", "kind").agg(F.min(F.struct("l", "r")).alias("c"))
     chosen = once.select("c.l", "own", "c.r", "kind").orderBy(F.xxhash64("own"), "own", "kind").limit(s.sample_windows)
     return [tuple(row) for row in chosen.collect()]
@@ -513,7 +515,7 @@ def personal_spans(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, _SPANS_ARROW)], names=schema.names)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(find, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidied(find), schema)
 
 
 def redact(text: str, spans: list[tuple[Span, bool]]) -> str:
@@ -537,7 +539,7 @@ def redacted(docs: DataFrame, text_col: str = "text", s: Settings = Settings())
             new = [None if t is None else redact(t, all_spans(t, sent.value, s.sure)) for t in (v.as_py() for v in old)]
             yield batch.set_column(place, batch.schema.field(place), pa.array(new, old.type))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(tidied(clean), docs.schema)
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s: Settings = Settings()) -> DataFrame:
